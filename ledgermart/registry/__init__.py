@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .check import Query
 
-SUBJECTS = ("ledger", "silver", "features")
+SUBJECTS = ("ledger", "silver", "features", "profile", "explore")
 
 
 def _merged(attribute: str) -> dict:
