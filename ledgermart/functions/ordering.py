@@ -105,54 +105,79 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]
-) -> DataFrame:
-    """Quantiles with linear interpolation: one row per group, one column per probability."""
-    placed = running_totals(
-        value_counts(df, keys, value), keys, [value], magnitude_bucket(F.col(value)), ["n"]
-    )
+def quantile_parts(
+    value: Column, n: Column, before: Column, total: Column, probabilities: dict[str, float]
+) -> tuple[list[Column], list[Column]]:
+    """Aggregates over placed counts, and the interpolated quantiles to select from them."""
 
     def value_at(place: Column) -> Column:
-        here = (F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n"))
-        return F.max(F.when(here, F.col(value)))
+        return F.max(F.when((before <= place) & (place < before + n), value))
 
-    wanted, results = [], []
+    aggregates, results = [], []
     for name, probability in probabilities.items():
-        place = (F.col("n_total") - 1) * F.lit(float(probability))
-        wanted += [
+        place = (total - 1) * F.lit(float(probability))
+        aggregates += [
             value_at(F.floor(place)).alias(f"_{name}_low"),
             value_at(F.ceil(place)).alias(f"_{name}_high"),
+            F.max(place - F.floor(place)).alias(f"_{name}_part"),
         ]
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        results.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    grouped = placed.groupBy(*keys).agg(*wanted, F.max("n_total").alias("n_total"))
-    return grouped.select(*keys, *results)
+        results.append((low + (high - low) * F.col(f"_{name}_part")).alias(name))
+    return aggregates, results
 
 
-def roc_auc(
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]
+) -> DataFrame:
+    """Quantiles with linear interpolation: one row per group, one column per probability."""
+    placed = running_totals(
+        value_counts(df, keys, value), keys, [value], magnitude_bucket(F.col(value)), ["n"]
+    )
+    aggregates, results = quantile_parts(
+        F.col(value), F.col("n"), F.col("n_before"), F.col("n_total"), probabilities
+    )
+    return placed.groupBy(*keys).agg(*aggregates).select(*keys, *results)
+
+
+def class_counts(
     df: DataFrame, keys: Sequence[str], score: str, label: str, digits: int | None = None
 ) -> DataFrame:
-    """Area under the ROC curve per group, ties counted half; NULL when only one class occurs.
+    """Distinct scores per group with their ``positives`` and ``negatives``.
 
     ``digits`` rounds scores first, to bound the number of distinct ones.
     """
     value = F.col(score).cast("double")
     value = value if digits is None else F.round(value, digits)
-    counted = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*keys, value.alias("_score"))
+    return (
+        df.where(present(F.col(score)) & F.col(label).isNotNull())
+        .groupBy(*keys, value.alias(score))
         .agg(
-            F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("positives"),
-            F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("negatives"),
+            F.count_if(F.col(label) == 1).alias("positives"),
+            F.count_if(F.col(label) != 1).alias("negatives"),
         )
     )
-    placed = running_totals(
-        counted, keys, ["_score"], share_bucket(F.col("_score")), ["positives", "negatives"]
+
+
+def place_classes(counts: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
+    """Class counts with the number of each class below them."""
+    return running_totals(
+        counts, keys, [score], share_bucket(F.col(score)), ["positives", "negatives"]
     )
+
+
+def auc_aggregate() -> Column:
+    """AUC over placed class counts, ties counted half; NULL when only one class occurs."""
     won = F.col("positives").cast("double") * (F.col("negatives_before") + F.col("negatives") / 2)
     pairs = F.max("positives_total").cast("double") * F.max("negatives_total")
-    return placed.groupBy(*keys).agg(F.try_divide(F.sum(won), pairs).alias("auc"))
+    return F.try_divide(F.sum(won), pairs)
+
+
+def roc_auc(
+    df: DataFrame, keys: Sequence[str], score: str, label: str, digits: int | None = None
+) -> DataFrame:
+    """Area under the ROC curve per group."""
+    placed = place_classes(class_counts(df, keys, score, label, digits), keys, score)
+    return placed.groupBy(*keys).agg(auc_aggregate().alias("auc"))
 
 
 def ks_statistic(df: DataFrame, keys: Sequence[str], score: str, in_second: str) -> DataFrame:

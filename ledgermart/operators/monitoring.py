@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.columns import iso_day
+from ..functions.columns import flag, iso_day
 from ..functions.ordering import (
-    exact_quantiles,
+    auc_aggregate,
+    class_counts,
     ks_statistic,
     ks_tail_probability,
+    place_classes,
+    quantile_parts,
     roc_auc,
 )
 from ..sources.stores import within
@@ -73,7 +76,7 @@ def monitored_scores(
     return dated.join(first_label_per_customer(labels), "Customer_ID")
 
 
-# --- performance ---------------------------------------------------------------------------------
+# --- one row per model and date ------------------------------------------------------------------
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -81,39 +84,82 @@ def _ratio(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator, denominator), F.lit(0.0))
 
 
-def performance_over_time(scores: DataFrame, min_rows: int = 10) -> DataFrame:
-    """Confusion counts, rates, AUC and score moments per model and date.
+def score_bin(score: Column) -> Column:
+    """Index 0-9 of the score's bin: closed below, open above, the last one closed."""
+    above = [F.when(score >= edge, 1).otherwise(0) for edge in SCORE_EDGES[1:-1]]
+    inside = score.between(SCORE_EDGES[0], SCORE_EDGES[-1])
+    return F.when(inside, reduce(Column.__add__, above))
 
-    Dates with fewer rows, or where labels and decisions together know one class only, are left
-    out.  AUC is NULL when all labels are equal.
+
+def period_profile(scores: DataFrame) -> DataFrame:
+    """Everything monitoring needs to know about a model's scores of one date.
+
+    Counts by class and decision, score moments and bins come from one aggregate; AUC and
+    quartiles share one ordered pass over the distinct scores.  The other operators work on this
+    small frame; write or checkpoint it when several of them are wanted.
     """
-    label, decision = F.col(LABEL), F.col(DECISION)
+    label, decision, score = F.col(LABEL), F.col(DECISION), F.col(SCORE)
 
     def cell(wanted_label: int, wanted_decision: int) -> Column:
         return F.count_if((label == wanted_label) & (decision == wanted_decision))
 
-    counts = scores.groupBy(*PERIOD).agg(
+    counts = scores.withColumn("_bin", score_bin(score)).groupBy(*PERIOD).agg(
         F.count("*").alias("sample_count"),
         F.avg(label).alias("actual_default_rate"),
         F.avg(decision).alias("predicted_default_rate"),
-        F.avg(SCORE).alias("mean_prediction"),
-        F.stddev_samp(SCORE).alias("std_prediction"),
+        F.avg(score).alias("mean_prediction"),
+        F.stddev_samp(score).alias("std_prediction"),
+        F.min(score).alias("min_prediction"),
+        F.max(score).alias("max_prediction"),
         cell(1, 1).alias("true_positives"),
         cell(0, 1).alias("false_positives"),
         cell(0, 0).alias("true_negatives"),
         cell(1, 0).alias("false_negatives"),
-        (F.least(F.min(label), F.min(decision)) < F.greatest(F.max(label), F.max(decision))).alias(
-            "_two_classes"
-        ),
+        F.array(*[F.count_if(F.col("_bin") == i) for i in range(HISTOGRAM_BINS)]).alias("bin_counts"),
+    )
+    placed = place_classes(class_counts(scores, PERIOD, SCORE, LABEL), PERIOD, SCORE)
+    aggregates, quartiles = quantile_parts(
+        score,
+        F.col("positives") + F.col("negatives"),
+        F.col("positives_before") + F.col("negatives_before"),
+        F.col("positives_total") + F.col("negatives_total"),
+        {"q25": 0.25, "q75": 0.75},
     )
-    kept = counts.where((F.col("sample_count") >= min_rows) & F.col("_two_classes"))
+    ordered = placed.groupBy(*PERIOD).agg(auc_aggregate().alias("auc"), *aggregates)
+    return counts.join(ordered.select(*PERIOD, "auc", *quartiles), PERIOD, "left")
+
+
+# --- performance ---------------------------------------------------------------------------------
+
+
+def performance_over_time(profile: DataFrame, min_rows: int = 10) -> DataFrame:
+    """Confusion counts, rates, AUC and score moments per model and date.
+
+    Dates with fewer rows, or where labels and decisions together know one class only, are left
+    out.  AUC is NULL when all labels are equal.
+    """
     tp, fp, fn = F.col("true_positives"), F.col("false_positives"), F.col("false_negatives")
-    precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
-    measured = kept.drop("_two_classes").withColumns({"precision": precision, "recall": recall})
+    samples = F.col("sample_count")
+    kept = profile.where((samples >= min_rows) & (samples > tp) & (samples > F.col("true_negatives")))
     p, r = F.col("precision"), F.col("recall")
-    measured = measured.withColumn("f1_score", _ratio(2 * p * r, p + r))
-    auc = roc_auc(scores, PERIOD, SCORE, LABEL)
-    return measured.join(auc, PERIOD, "left").withColumn("gini", 2 * F.col("auc") - 1)
+    measured = kept.withColumns({"precision": _ratio(tp, tp + fp), "recall": _ratio(tp, tp + fn)})
+    return measured.select(
+        *PERIOD,
+        "sample_count",
+        "actual_default_rate",
+        "predicted_default_rate",
+        "auc",
+        (2 * F.col("auc") - 1).alias("gini"),
+        "precision",
+        "recall",
+        _ratio(2 * p * r, p + r).alias("f1_score"),
+        "mean_prediction",
+        "std_prediction",
+        "true_positives",
+        "false_positives",
+        "true_negatives",
+        "false_negatives",
+    )
 
 
 def auc_by_split(scored: DataFrame, keys: list[str], score: str, label: str) -> DataFrame:
@@ -121,43 +167,53 @@ def auc_by_split(scored: DataFrame, keys: list[str], score: str, label: str) ->
     return roc_auc(scored, keys, score, label).withColumn("gini", 2 * F.col("auc") - 1)
 
 
-def model_stability(scores: DataFrame, min_rows: int = 10) -> DataFrame:
-    """How steady a model's AUC is across dates with enough rows.
+def stability_measures(profile: DataFrame, min_rows: int = 10) -> DataFrame:
+    """One row per model, from one pass over its dates: drift of scores, AUC and distribution.
 
-    Fewer than two such dates count as perfectly stable.
+    AUC counts only on dates with enough rows.
     """
-    enough = scores.groupBy(*PERIOD).agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
-    auc = roc_auc(scores, PERIOD, SCORE, LABEL).join(enough, PERIOD)
-    measured = auc.groupBy(MODEL).agg(
-        F.count("*").alias("periods"),
-        F.stddev_samp("auc").alias("_volatility"),
-        F.avg("auc").alias("_mean"),
+    enough = F.col("sample_count") >= min_rows
+    auc = F.when(enough, F.col("auc"))
+    return with_stability_index(profile).groupBy(MODEL).agg(
+        F.count("*").alias("num_periods"),
+        F.stddev_samp("mean_prediction").alias("mean_drift"),
+        F.stddev_samp("std_prediction").alias("std_drift"),
+        F.count_if(enough).alias("auc_periods"),
+        F.stddev_samp(auc).alias("auc_deviation"),
+        F.avg(auc).alias("auc_mean"),
+        F.coalesce(F.avg("psi"), F.lit(0.0)).alias("avg_prediction_psi"),
     )
-    models = scores.select(MODEL).distinct()
-    single = F.coalesce(F.col("periods"), F.lit(0)) < 2
-    consistency = F.when(F.col("_mean") > 0, 1 - F.col("_volatility") / F.col("_mean")).otherwise(0.0)
-    return models.join(measured, MODEL, "left").select(
+
+
+def _auc_is_steady() -> Column:
+    return flag((F.col("auc_periods") < 2) | (F.col("auc_deviation") < 0.05))
+
+
+def _scores_are_steady() -> Column:
+    return flag((F.col("mean_drift") < 0.05) & (F.col("ks_statistic") < 0.1))
+
+
+def model_stability(measures: DataFrame) -> DataFrame:
+    """How steady a model's AUC is; fewer than two measured dates count as perfectly stable."""
+    single = F.col("auc_periods") < 2
+    deviation, mean = F.col("auc_deviation"), F.col("auc_mean")
+    consistency = F.when(mean > 0, 1 - deviation / mean).otherwise(0.0)
+    return measures.select(
         MODEL,
-        F.coalesce("periods", F.lit(0)).alias("periods"),
-        F.when(single, 0.0).otherwise(F.col("_volatility")).alias("performance_volatility"),
+        F.col("auc_periods").alias("periods"),
+        F.when(single, 0.0).otherwise(deviation).alias("performance_volatility"),
         F.when(single, 1.0).otherwise(consistency).alias("consistency_score"),
-        F.coalesce(single | (F.col("_volatility") < 0.05), F.lit(False)).alias("is_stable"),
+        _auc_is_steady().alias("is_stable"),
     )
 
 
 # --- score distribution --------------------------------------------------------------------------
 
 
-def score_statistics(scores: DataFrame) -> DataFrame:
+def score_statistics(profile: DataFrame) -> DataFrame:
     """Mean, deviation, range and quartiles of the scores per model and date."""
-    moments = scores.groupBy(*PERIOD).agg(
-        F.avg(SCORE).alias("mean"),
-        F.stddev_samp(SCORE).alias("std"),
-        F.min(SCORE).alias("min"),
-        F.max(SCORE).alias("max"),
-    )
-    quartiles = exact_quantiles(scores, PERIOD, SCORE, {"q25": 0.25, "q75": 0.75})
-    return moments.join(quartiles, PERIOD, "left")
+    renamed = [F.col(f"{name}_prediction").alias(name) for name in ("mean", "std", "min", "max")]
+    return profile.select(*PERIOD, *renamed, "q25", "q75")
 
 
 def first_and_last_period(scores: DataFrame) -> DataFrame:
@@ -197,91 +253,81 @@ def score_shift(scores: DataFrame) -> DataFrame:
     )
 
 
-def prediction_stability(scores: DataFrame) -> DataFrame:
-    """Drift of score means and deviations over time next to the first-to-last shift."""
-    moments = scores.groupBy(*PERIOD).agg(
-        F.avg(SCORE).alias("mean"), F.stddev_samp(SCORE).alias("std")
-    )
-    drift = moments.groupBy(MODEL).agg(
-        F.stddev_samp("mean").alias("mean_drift"), F.stddev_samp("std").alias("std_drift")
-    )
-    steady = (F.col("mean_drift") < 0.05) & (F.col("ks_statistic") < 0.1)
-    return (
-        drift.join(score_shift(scores), MODEL)
-        .select(MODEL, "mean_drift", "std_drift", "ks_statistic", "ks_p_value")
-        .withColumn("is_stable", F.coalesce(steady, F.lit(False)))
+def prediction_stability(measures: DataFrame, shift: DataFrame) -> DataFrame:
+    """Drift of score means and deviations over time next to the first-to-last ``score_shift``."""
+    return measures.join(shift, MODEL).select(
+        MODEL,
+        "mean_drift",
+        "std_drift",
+        "ks_statistic",
+        "ks_p_value",
+        _scores_are_steady().alias("is_stable"),
     )
 
 
-def score_bin(score: Column) -> Column:
-    """Index 0-9 of the score's bin: closed below, open above, the last one closed."""
-    above = [F.when(score >= edge, 1).otherwise(0) for edge in SCORE_EDGES[1:-1]]
-    inside = score.between(SCORE_EDGES[0], SCORE_EDGES[-1])
-    return F.when(inside, reduce(Column.__add__, above))
+def bin_shares(counts: str) -> Column:
+    """Shares that belong to an array of counts."""
+    whole = F.aggregate(counts, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    return F.transform(counts, lambda n: F.try_divide(n, whole))
 
 
-def score_histogram(scores: DataFrame) -> DataFrame:
+def score_histogram(profile: DataFrame) -> DataFrame:
     """Count and share of every occupied score bin per model and date."""
-    counts = (
-        scores.groupBy(*PERIOD, score_bin(F.col(SCORE)).alias("bin"))
-        .agg(F.count("*").alias("count"))
-        .where(F.col("bin").isNotNull())
+    cells = F.arrays_zip(F.col("bin_counts").alias("count"), bin_shares("bin_counts").alias("share"))
+    return (
+        profile.select(*PERIOD, F.posexplode(cells).alias("bin", "cell"))
+        .select(*PERIOD, "bin", "cell.count", "cell.share")
+        .where("count > 0")
     )
-    whole = F.sum("count").over(W.partitionBy(*PERIOD))
-    return counts.withColumn("share", F.col("count") / whole)
 
 
-def population_stability(scores: DataFrame) -> DataFrame:
-    """Population stability index of every later date against the model's first date.
+def with_stability_index(profile: DataFrame) -> DataFrame:
+    """Add the population stability index against the model's first date; NULL on that date.
 
     Bins that are empty on either side do not count.
     """
-    shares = score_histogram(scores).select(*PERIOD, "bin", "share")
-    ends = first_and_last_period(scores)
-    base = (
-        shares.join(ends.select(MODEL, F.col("first_date").alias(DATE)), PERIOD)
-        .select(MODEL, "bin", F.col("share").alias("base_share"))
+    by_date = W.partitionBy(MODEL).orderBy(DATE)
+    shared = profile.withColumn("_shares", bin_shares("bin_counts"))
+    based = shared.withColumns(
+        {"_base": F.first("_shares").over(by_date), "_number": F.row_number().over(by_date)}
     )
-    later = scores.select(*PERIOD).distinct().join(ends, MODEL).where(F.col(DATE) > F.col("first_date"))
-    change = F.col("share") - F.col("base_share")
-    both = shares.join(base, [MODEL, "bin"])
-    index = both.groupBy(*PERIOD).agg(
-        F.sum(change * F.ln(F.col("share") / F.col("base_share"))).alias("psi")
-    )
-    return later.select(*PERIOD).join(index, PERIOD, "left").select(
-        *PERIOD, F.coalesce("psi", F.lit(0.0)).alias("psi")
+
+    def term(now: Column, base: Column) -> Column:
+        return F.when((now > 0) & (base > 0), (now - base) * F.ln(now / base)).otherwise(0.0)
+
+    index = F.aggregate(F.zip_with("_shares", "_base", term), F.lit(0.0), lambda total, x: total + x)
+    return based.withColumn("psi", F.when(F.col("_number") > 1, index)).drop(
+        "_shares", "_base", "_number"
     )
 
 
-def prediction_patterns(scores: DataFrame, threshold: float = 0.2) -> DataFrame:
+def population_stability(profile: DataFrame) -> DataFrame:
+    """Population stability index of every later date."""
+    return with_stability_index(profile).where(F.col("psi").isNotNull()).select(*PERIOD, "psi")
+
+
+def prediction_patterns(measures: DataFrame, threshold: float = 0.2) -> DataFrame:
     """Mean stability index over the later dates of every model; 0 for a single date."""
-    average = population_stability(scores).groupBy(MODEL).agg(F.avg("psi").alias("_psi"))
-    psi = F.coalesce("_psi", F.lit(0.0))
-    return first_and_last_period(scores).join(average, MODEL, "left").select(
-        MODEL,
-        F.col("periods").alias("num_periods"),
-        psi.alias("avg_prediction_psi"),
-        (psi > threshold).alias("has_significant_drift"),
+    psi = F.col("avg_prediction_psi")
+    return measures.select(
+        MODEL, "num_periods", psi, (psi > threshold).alias("has_significant_drift")
     )
 
 
-def overall_stability(scores: DataFrame, threshold: float = 0.2, min_rows: int = 10) -> DataFrame:
+def overall_stability(
+    measures: DataFrame, shift: DataFrame, threshold: float = 0.2
+) -> DataFrame:
     """Share of the three checks a model passes, and the verdict."""
-    parts = (
-        prediction_stability(scores)
-        .select(MODEL, "ks_statistic", F.col("is_stable").alias("prediction_stable"))
-        .join(
-            model_stability(scores, min_rows).select(
-                MODEL, F.col("is_stable").alias("performance_stable")
-            ),
-            MODEL,
-        )
-        .join(prediction_patterns(scores).select(MODEL, "avg_prediction_psi"), MODEL)
-    )
     psi = F.col("avg_prediction_psi")
-    checks = ["prediction_stable", "performance_stable", "distribution_stable"]
-    judged = parts.withColumn("distribution_stable", psi < threshold)
-    passed = reduce(Column.__add__, [F.col(c).cast("int") for c in checks])
+    checks = {
+        "prediction_stable": _scores_are_steady(),
+        "performance_stable": _auc_is_steady(),
+        "distribution_stable": psi < threshold,
+    }
+    judged = measures.join(shift.select(MODEL, "ks_statistic"), MODEL).select(
+        MODEL, "ks_statistic", psi, *[check.alias(name) for name, check in checks.items()]
+    )
+    passed = reduce(Column.__add__, [F.col(name).cast("int") for name in checks])
     judged = judged.withColumn("stability_score", passed / F.lit(3.0))
     verdict = (
         F.when(F.col("stability_score") >= 0.8, "STABLE")
@@ -293,14 +339,10 @@ def overall_stability(scores: DataFrame, threshold: float = 0.2, min_rows: int =
     )
 
 
-def drift_classes(scores: DataFrame) -> DataFrame:
+def drift_classes(stability: DataFrame) -> DataFrame:
     """Every drift measure of a model with its class: high above 0.2, moderate above 0.1."""
     measures = ["overall_prediction_drift", "prediction_stability_score"]
-    wide = overall_stability(scores).select(
-        MODEL,
-        F.col("avg_prediction_psi").alias(measures[0]),
-        measures[1],
-    )
+    wide = stability.select(MODEL, F.col("avg_prediction_psi").alias(measures[0]), measures[1])
     value = F.col("value")
     level = F.when(value > 0.2, "high").when(value > 0.1, "moderate").otherwise("low")
     return wide.unpivot(MODEL, measures, "measure", "value").withColumn("drift", level)
@@ -349,52 +391,61 @@ def performance_alerts(
         F.max_by("sample_count", DATE).alias("recent"),
         F.avg("sample_count").alias("usual"),
     )
-    judged = stability.join(volume, MODEL)
-    nothing = F.lit(None).cast("double")
-
-    def alert(condition, kind, severity, metric, value, usual, message):
-        return judged.where(condition).select(
-            MODEL,
-            F.lit(kind).alias("type"),
-            severity.alias("severity"),
-            F.lit(metric).alias("metric"),
-            day,
-            value.cast("double").alias("value"),
-            usual.alias("baseline"),
-            nothing.alias("degradation_pct"),
-            message.alias("message"),
+    verdict, score, ks = F.col("assessment"), F.col("stability_score"), F.col("ks_statistic")
+    recent, usual = F.col("recent"), F.col("usual")
+
+    def alert(condition, kind, severity, metric, value, baseline, message) -> Column:
+        nothing = F.lit(None).cast("double")
+        return F.when(
+            condition,
+            F.struct(
+                F.lit(kind).alias("type"),
+                severity.alias("severity"),
+                F.lit(metric).alias("metric"),
+                day,
+                value.cast("double").alias("value"),
+                (nothing if baseline is None else baseline).alias("baseline"),
+                nothing.alias("degradation_pct"),
+                message.alias("message"),
+            ),
         )
 
-    verdict, score, ks = F.col("assessment"), F.col("stability_score"), F.col("ks_statistic")
-    word = F.when(verdict == "UNSTABLE", "unstable").otherwise("moderate")
-    unstable = alert(
-        verdict.isin("UNSTABLE", "MODERATE"),
-        "stability",
-        F.when(verdict == "UNSTABLE", "critical").otherwise("warning"),
-        "stability_score",
-        score,
-        nothing,
-        F.concat(F.lit("Model stability is "), word, F.format_string(" (score: %.2f)", score)),
-    )
-    shifted = alert(
-        ks >= 0.15,
-        "distribution_drift",
-        F.lit("warning"),
-        "ks_statistic",
-        ks,
-        nothing,
-        F.format_string("Prediction distribution drift detected (KS: %.3f)", ks),
-    )
-    few = alert(
-        F.col("recent") < F.col("usual") * 0.5,
-        "sample_volume",
-        F.lit("warning"),
-        "sample_count",
-        F.col("recent"),
-        F.col("usual"),
-        F.format_string("Low prediction volume: %d vs avg %.0f", "recent", "usual"),
+    warning = F.lit("warning")
+    per_model = F.array(
+        alert(
+            verdict.isin("UNSTABLE", "MODERATE"),
+            "stability",
+            F.when(verdict == "UNSTABLE", "critical").otherwise(warning),
+            "stability_score",
+            score,
+            None,
+            F.concat(
+                F.lit("Model stability is "),
+                F.lower(verdict),
+                F.format_string(" (score: %.2f)", score),
+            ),
+        ),
+        alert(
+            ks >= 0.15,
+            "distribution_drift",
+            warning,
+            "ks_statistic",
+            ks,
+            None,
+            F.format_string("Prediction distribution drift detected (KS: %.3f)", ks),
+        ),
+        alert(
+            recent < usual * 0.5,
+            "sample_volume",
+            warning,
+            "sample_count",
+            recent,
+            usual,
+            F.format_string("Low prediction volume: %d vs avg %.0f", recent, usual),
+        ),
     )
-    return by_severity(reduce(DataFrame.unionByName, [degradation, unstable, shifted, few]))
+    others = stability.join(volume, MODEL).select(MODEL, F.inline(F.array_compact(per_model)))
+    return by_severity(degradation.unionByName(others))
 
 
 def by_severity(alerts: DataFrame) -> DataFrame:

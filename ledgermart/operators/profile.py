@@ -450,17 +450,16 @@ def binned_mutual_information(
     def place(value: str, prefix: str) -> Column:
         return reduce(add, [indicator(F.col(value) > F.col(f"{prefix}{c}")) for c in inner])
 
-    target_cuts = cuts.where(F.col("feature") == target).select(
-        *[F.col(c).alias(f"target_{c}") for c in inner]
+    of_target = F.col("feature") == target
+    cuts = cuts.select(
+        "*", *[F.max(F.when(of_target, F.col(c))).over(_cells()).alias(f"target_{c}") for c in inner]
     )
-    target_bin = reduce(
-        add, [indicator(F.col("_target") > target_cuts.select(f"target_{c}").scalar()) for c in inner]
-    )
-    pairs = complete.withColumn("_target", F.col(target))
-    pairs = long_form(pairs.withColumn("bin_y", target_bin), ["bin_y"], columns)
+    pairs = long_form(complete.withColumn("_target", F.col(target)), ["_target"], columns)
     joint = (
         pairs.join(F.broadcast(cuts), "feature")
-        .groupBy("feature", place("value", "").alias("bin_x"), "bin_y")
+        .groupBy(
+            "feature", place("value", "").alias("bin_x"), place("_target", "target_").alias("bin_y")
+        )
         .agg(F.count("*").alias("n"))
     )
 
@@ -480,7 +479,7 @@ def binned_mutual_information(
 
 
 def _cells(*keys: str) -> WindowSpec:
-    """Window over the joint bin counts, at most ``bins * bins`` rows per column."""
+    """Window over small frames: one row per column, or per column and pair of bins."""
     return Window.partitionBy(*keys)
 
 

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from ..operators import ledger
 from ..operators import monitoring as m
-from ..operators.registry import baseline_from_scores
+from ..operators.registry import baseline_from_scores, with_span
+from ..operators.scoring import shaped_predictions
+from ..session import checkpointed
 from ..sources.sample_tables import MODEL_VERSIONS
 from .check import Registry
 
@@ -22,6 +24,18 @@ def scores(t):
     return m.monitored_scores(t.predictions, labels(t))
 
 
+def profile(t):
+    return m.period_profile(scores(t))
+
+
+def measures(t):
+    return m.stability_measures(profile(t))
+
+
+def stability(t, period_profile):
+    return m.overall_stability(m.stability_measures(period_profile), m.score_shift(scores(t)))
+
+
 def baseline(t):
     """Training metrics of the sample models: AUC on three spans of their scored loans."""
     return baseline_from_scores(
@@ -80,8 +94,6 @@ def first_labels(t):
       AS model_prediction_binary, count(*) AS rows FROM predictions GROUP BY 1, 2, 3""",
 )
 def decisions(t):
-    from ..operators.scoring import shaped_predictions
-
     scored = t.predictions.select(
         "Customer_ID", "feature_snapshot_date", F.col("model_prediction_proba").alias("probability_of_default"),
         F.col("model_version").alias("version"),
@@ -128,7 +140,7 @@ _METRICS_OUT = _PERIOD + """sample_count:i actual_default_rate:f predicted_defau
       fn AS false_negatives FROM metrics""",
 )
 def performance(t):
-    return m.performance_over_time(scores(t))
+    return m.performance_over_time(profile(t))
 
 
 @registry.add(
@@ -151,7 +163,7 @@ def auc_by_period(t):
       FROM monitored GROUP BY 1, 2""",
 )
 def score_statistics(t):
-    return m.score_statistics(scores(t))
+    return m.score_statistics(profile(t))
 
 
 _ENDS = """ends AS (SELECT model_version, min(snapshot_date) AS first_date, max(snapshot_date) AS last_date,
@@ -190,7 +202,7 @@ _DRIFT = """drift AS (SELECT model_version, stddev_samp(mean) AS mean_drift, std
       FROM drift JOIN ks USING (model_version)""",
 )
 def prediction_stability(t):
-    return m.prediction_stability(scores(t)).drop("ks_p_value")
+    return m.prediction_stability(measures(t), m.score_shift(scores(t))).drop("ks_p_value")
 
 
 @registry.add(
@@ -223,7 +235,7 @@ _AUC_SPREAD = f"""volatility AS (SELECT model_version, count(*) AS periods, stdd
       periods < 2 OR v < 0.05::DOUBLE AS is_stable FROM volatility""",
 )
 def model_stability(t):
-    return m.model_stability(scores(t))
+    return m.model_stability(measures(t))
 
 
 _SHARES = f"""bins AS (SELECT model_version, snapshot_date, CASE {
@@ -240,7 +252,7 @@ _SHARES = f"""bins AS (SELECT model_version, snapshot_date, CASE {
     sql=f"WITH {_SHARES} SELECT * FROM shares",
 )
 def score_histogram(t):
-    return m.score_histogram(scores(t))
+    return m.score_histogram(profile(t))
 
 
 _PSI = f"""{_SHARES}, {_ENDS}, psi AS (SELECT model_version, snapshot_date, coalesce(psi, 0) AS psi FROM (
@@ -260,7 +272,7 @@ _PSI = f"""{_SHARES}, {_ENDS}, psi AS (SELECT model_version, snapshot_date, coal
     sql=f"WITH {_PSI} SELECT * FROM psi",
 )
 def psi(t):
-    return m.population_stability(scores(t))
+    return m.population_stability(profile(t))
 
 
 @registry.add(
@@ -270,7 +282,7 @@ def psi(t):
     sql=f"WITH {_PSI} SELECT * FROM patterns",
 )
 def patterns(t):
-    return m.prediction_patterns(scores(t))
+    return m.prediction_patterns(measures(t))
 
 
 _OVERALL = f"""{_KS}, {_DRIFT}, {_AUC_SPREAD}, {_PSI.replace(_ENDS + ", ", "")}, overall AS (SELECT *,
@@ -290,7 +302,7 @@ _OVERALL = f"""{_KS}, {_DRIFT}, {_AUC_SPREAD}, {_PSI.replace(_ENDS + ", ", "")},
     sql=f"WITH {_OVERALL} SELECT * FROM overall",
 )
 def overall(t):
-    return m.overall_stability(scores(t))
+    return stability(t, profile(t))
 
 
 @registry.add(
@@ -302,7 +314,7 @@ def overall(t):
         SELECT model_version, 'prediction_stability_score', prediction_stability_score FROM overall)""",
 )
 def drift_classes(t):
-    return m.drift_classes(scores(t))
+    return m.drift_classes(stability(t, profile(t)))
 
 
 _SPANS = {"train": ("1995-01-01", "1997-12-31"), "test": ("1998-01-01", "1998-06-30"), "oot": ("1998-07-01", "1998-12-31")}
@@ -321,8 +333,6 @@ _SPLIT_SCORES = """spans AS (SELECT *, CASE """ + " ".join(
     sql=f"WITH {_SPLIT_SCORES} SELECT *, 2 * auc - 1 AS gini FROM split_auc",
 )
 def split_auc(t):
-    from ..operators.registry import with_span
-
     spanned = with_span(scores(t), _SPANS).where("split IS NOT NULL")
     return m.auc_by_split(spanned, ["model_version", "split"], m.SCORE, m.LABEL)
 
@@ -357,8 +367,8 @@ _ALERTS = f"""{_METRICS}, {_OVERALL}, {_SPLIT_SCORES}, volume AS (SELECT model_v
 
 
 def alerts(t):
-    rows = scores(t)
-    return m.performance_alerts(m.performance_over_time(rows), m.overall_stability(rows), baseline(t))
+    kept = checkpointed(profile(t))
+    return m.performance_alerts(m.performance_over_time(kept), stability(t, kept), baseline(t))
 
 
 @registry.add(
@@ -402,8 +412,8 @@ def most_severe(t):
       USING (model_version)""",
 )
 def summary(t):
-    rows = scores(t)
-    metrics, verdict = m.performance_over_time(rows), m.overall_stability(rows)
+    kept = checkpointed(profile(t))
+    metrics, verdict = m.performance_over_time(kept), stability(t, kept)
     return m.monitoring_summary(metrics, verdict, m.performance_alerts(metrics, verdict, baseline(t)))
 
 
@@ -417,5 +427,5 @@ def summary(t):
       FROM monitored GROUP BY 1, 2) s USING (model_version, snapshot_date)""",
 )
 def trend(t):
-    rows = scores(t)
-    return m.trend_chart(m.performance_over_time(rows), m.score_statistics(rows))
+    kept = checkpointed(profile(t))
+    return m.trend_chart(m.performance_over_time(kept), m.score_statistics(kept))

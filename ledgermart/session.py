@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,3 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="ledgermart-checkpoint-")
     context.setCheckpointDir(shared)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of a frame that several plans read, computed once and kept in the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
