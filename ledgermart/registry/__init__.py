@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .check import Query
 
-SUBJECTS = ("ledger", "silver", "features", "profile", "explore")
+SUBJECTS = ("ledger", "silver", "features", "stores", "profile", "explore", "mlprep", "monitoring")
 
 
 def _merged(attribute: str) -> dict:

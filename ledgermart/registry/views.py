@@ -252,6 +252,22 @@ FROM (SELECT u.Customer_ID, u.d AS feature_snapshot_date,
     LEFT JOIN attribute_features a USING (d, Customer_ID)
     LEFT JOIN clickstream_features c USING (d, Customer_ID))""",
     ),
+    "training": (
+        "label_store feature_store",
+        """
+SELECT l.*, f.* EXCLUDE (Customer_ID, feature_snapshot_date) FROM label_store l LEFT JOIN feature_store f
+  ON f.Customer_ID = l.Customer_ID AND f.feature_snapshot_date = l.snapshot_date
+WHERE l.snapshot_date BETWEEN DATE '1997-11-01' AND DATE '1998-12-31'""",
+    ),
+    "split_rows": (
+        "training",
+        """
+SELECT *, CASE WHEN snapshot_date >= DATE '1998-11-01' THEN 'oot'
+    WHEN place <= n - ceil((1 - 0.8::DOUBLE) * n) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY snapshot_date, loan_id) AS place,
+        count(*) FILTER (snapshot_date < DATE '1998-11-01') OVER () AS n FROM training)""",
+    ),
+    "train": ("split_rows", "SELECT * FROM split_rows WHERE split = 'train'"),
     "first_labels": (
         "label_store",
         """

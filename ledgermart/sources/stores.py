@@ -126,17 +126,22 @@ def write_monitoring(metrics: DataFrame, alerts: DataFrame, path: str) -> dict[s
 # --- what a store holds -----------------------------------------------------------------------
 
 
-def partition_check(predictions: DataFrame, version: str, day: str) -> DataFrame:
-    """Whether one version and date is present, with its numbers of rows and files."""
+def partition_check(
+    predictions: DataFrame, version: str, day: str, count_files: bool = True
+) -> DataFrame:
+    """Whether one version and date is present, with its numbers of rows and files.
+
+    Files can be counted only on a frame read from a store.
+    """
     part = predictions.where(
         (F.col("model_version") == version)
         & (F.col("snapshot_date").cast("date") == F.lit(day).cast("date"))
     )
-    return part.select(F.input_file_name().alias("file")).agg(
-        (F.count("*") > 0).alias("available"),
-        F.count("*").alias("records"),
-        F.count_distinct("file").alias("files"),
-    )
+    measures = [(F.count("*") > 0).alias("available"), F.count("*").alias("records")]
+    if not count_files:
+        return part.agg(*measures)
+    named = part.select(F.input_file_name().alias("file"))
+    return named.agg(*measures, F.count_distinct("file").alias("files"))
 
 
 def prediction_store_summary(predictions: DataFrame) -> DataFrame:
