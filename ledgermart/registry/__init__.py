@@ -6,7 +6,17 @@ from importlib import import_module
 
 from .check import Query
 
-SUBJECTS = ("ledger", "silver", "features", "stores", "profile", "explore", "mlprep", "monitoring")
+SUBJECTS = (
+    "ledger",
+    "silver",
+    "features",
+    "stores",
+    "profile",
+    "explore",
+    "mlprep",
+    "monitoring",
+    "health",
+)
 
 
 def _merged(attribute: str) -> dict:

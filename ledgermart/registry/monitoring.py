@@ -113,7 +113,7 @@ def _auc(keys, source="monitored", score="model_prediction_proba"):
           + (count(*) OVER (PARTITION BY {keys}, {score}) - 1) / 2.0::DOUBLE AS mid FROM {source}) GROUP BY {keys})"""
 
 
-_METRICS = f"""metrics AS (SELECT c.*, auc, 2 * auc - 1 AS gini,
+METRICS_SQL = f"""metrics AS (SELECT c.*, auc, 2 * auc - 1 AS gini,
     CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END AS "precision",
     CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END AS recall,
     CASE WHEN tp > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END AS f1_score
@@ -136,7 +136,7 @@ _METRICS_OUT = _PERIOD + """sample_count:i actual_default_rate:f predicted_defau
     "performance_over_time",
     out=_METRICS_OUT,
     views="monitored",
-    sql=f"""WITH {_METRICS} SELECT *, tp AS true_positives, fp AS false_positives, tn AS true_negatives,
+    sql=f"""WITH {METRICS_SQL} SELECT *, tp AS true_positives, fp AS false_positives, tn AS true_negatives,
       fn AS false_negatives FROM metrics""",
 )
 def performance(t):
@@ -348,7 +348,7 @@ def training_baseline(t):
     return m.baseline_metrics(baseline(t), MODEL_VERSIONS[1])
 
 
-_ALERTS = f"""{_METRICS}, {_OVERALL}, {_SPLIT_SCORES}, volume AS (SELECT model_version, max(snapshot_date) AS last_date,
+_ALERTS = f"""{METRICS_SQL}, {_OVERALL}, {_SPLIT_SCORES}, volume AS (SELECT model_version, max(snapshot_date) AS last_date,
     arg_max(sample_count, snapshot_date) AS recent, avg(sample_count) AS usual FROM metrics GROUP BY 1),
   alerts AS (
     SELECT model_version, 'performance_degradation' AS type, CASE WHEN loss >= 0.1::DOUBLE THEN 'critical' ELSE 'warning' END AS severity,
@@ -421,7 +421,7 @@ def summary(t):
     "trend_chart",
     out=_PERIOD + "auc:f gini:f sample_count:i actual_default_rate:f predicted_default_rate:f mean:f std:f q25:f q75:f",
     views="monitored",
-    sql=f"""WITH {_METRICS} SELECT metrics.*, s.mean, s.std, s.q25, s.q75 FROM metrics JOIN (
+    sql=f"""WITH {METRICS_SQL} SELECT metrics.*, s.mean, s.std, s.q25, s.q75 FROM metrics JOIN (
       SELECT model_version, snapshot_date, avg(model_prediction_proba) AS mean, stddev_samp(model_prediction_proba) AS std,
         quantile_cont(model_prediction_proba, 0.25) AS q25, quantile_cont(model_prediction_proba, 0.75) AS q75
       FROM monitored GROUP BY 1, 2) s USING (model_version, snapshot_date)""",
