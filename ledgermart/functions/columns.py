@@ -118,8 +118,8 @@ def title_words(c: Column) -> Column:
 
 
 def iso_day(c: Column) -> Column:
-    """First ten characters of a date, timestamp or ISO text, as a date."""
-    return F.to_date(F.substring(c.cast("string"), 1, 10), "yyyy-MM-dd")
+    """First ten characters of a date, timestamp or ISO text, as a date; NULL for other text."""
+    return F.try_to_date(F.substring(c.cast("string"), 1, 10), "yyyy-MM-dd")
 
 
 def month_start(c: Column) -> Column:

@@ -72,11 +72,11 @@ def read_store(
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The store at ``path``, or no rows of the given schema when it does not exist yet."""
+    """The store at ``path``, or no rows of the given schema when nothing was written there yet."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema)
 
@@ -115,14 +115,33 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     write_snapshots(predictions, path, ("model_version", "snapshot_date"))
 
 
-def write_monitoring(metrics: DataFrame, alerts: DataFrame, path: str) -> dict[str, str]:
-    """Store metrics and alerts per model version; returns where they are."""
+_ALERT_FIELDS = (
+    "type", "severity", "metric", "date", "value", "baseline", "degradation_pct", "message",
+)
+
+
+def write_monitoring(metrics: DataFrame, alerts: DataFrame, path: str, end: str) -> dict[str, str]:
+    """Store metrics and alerts per model version and monitoring date; returns where they are.
+
+    A model's alerts are one row with a list, so a repeated run without alerts clears old ones.
+    """
     targets = {"performance_metrics": f"{path}/performance_metrics", "alerts": f"{path}/alerts"}
-    write_snapshots(metrics, targets["performance_metrics"], ("model_version",))
-    write_snapshots(alerts, targets["alerts"], ("model_version",))
+    by, monitored = ("model_version", "monitoring_end"), F.lit(end).cast("date")
+    listed = alerts.groupBy("model_version").agg(
+        F.collect_list(F.struct(*_ALERT_FIELDS)).alias("alerts")
+    )
+    per_model = metrics.select("model_version").distinct().join(listed, "model_version", "left")
+    write_snapshots(metrics.withColumn(by[1], monitored), targets["performance_metrics"], by)
+    write_snapshots(per_model.withColumn(by[1], monitored), targets["alerts"], by)
     return targets
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per stored alert."""
+    stored = spark.read.parquet(f"{path}/alerts")
+    return stored.select("model_version", "monitoring_end", F.inline("alerts"))
+
+
 # --- what a store holds -----------------------------------------------------------------------
 
 
