@@ -46,13 +46,9 @@ def _points(c: Column, points: dict[str, int]) -> Column:
 
 def risk_score() -> Column:
     """Simulated score 0-100 from raw finances; NULL where a part of it is missing."""
-    dti = clip(
-        F.when(_number("Annual_Income") != 0, _number("Outstanding_Debt") / _number("Annual_Income"))
-        .when(_number("Outstanding_Debt") > 0, F.lit(float("inf")))
-        .when(_number("Outstanding_Debt") < 0, F.lit(float("-inf"))),
-        0.0,
-        1.0,
-    )
+    income, debt = _number("Annual_Income"), _number("Outstanding_Debt")
+    unbounded = F.when(debt > 0, F.lit(float("inf"))).when(debt < 0, F.lit(float("-inf")))
+    dti = clip(F.when(income == 0, unbounded).otherwise(F.try_divide(debt, income)), 0.0, 1.0)
     history = duration_months(F.col("Credit_History_Age"), missing_years=0)
     total = (
         _points(F.col("Credit_Mix"), MIX_POINTS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions.columns import as_int, indicator, iso_day
 from ..sources.schemas import LOAN_TYPES
@@ -32,11 +33,13 @@ def with_months_on_book(ledger: DataFrame) -> DataFrame:
 
 
 def with_installments_missed(ledger: DataFrame) -> DataFrame:
-    """Overdue amount in whole installments, rounded up, dividing in double precision.
+    """Overdue amount in whole installments, rounded up; floats are divided in double precision.
 
     A zero installment gives NULL.  After that every NULL number of the row becomes 0.
     """
-    ratio = F.try_divide(F.col("overdue_amt").cast("double"), F.col("due_amt").cast("double"))
+    exact = isinstance(ledger.schema["due_amt"].dataType, DecimalType)
+    amounts = [F.col(c) if exact else F.col(c).cast("double") for c in ("overdue_amt", "due_amt")]
+    ratio = F.try_divide(*amounts)
     return ledger.withColumn("installments_missed", F.ceil(ratio).try_cast("int")).fillna(0)
 
 

@@ -62,7 +62,7 @@ _RISK = r"""SELECT Customer_ID, snapshot_date, CASE WHEN s < 0 THEN 0 WHEN s > 1
       + (1 - CASE WHEN dti < 0 THEN 0 WHEN dti > 1 THEN 1 ELSE dti END) * 25
       + (CASE WHEN months > 240 THEN 1.0::DOUBLE ELSE months / 240.0::DOUBLE END) * 15
       - (CASE WHEN late > 20 THEN 1.0::DOUBLE WHEN late < 0 THEN 0 ELSE late / 20.0::DOUBLE END) * 20 AS s
-    FROM (SELECT *, CASE WHEN income <> 0 THEN debt / income WHEN debt > 0 THEN 'inf'::DOUBLE END AS dti,
+    FROM (SELECT *, CASE WHEN income = 0 AND debt > 0 THEN 'inf'::DOUBLE WHEN income <> 0 THEN debt / income END AS dti,
         CASE WHEN Credit_History_Age IS NOT NULL THEN
           coalesce(TRY_CAST(regexp_extract(Credit_History_Age, '(\d+)\s*Years?', 1) AS INTEGER), 0) * 12
           + coalesce(TRY_CAST(regexp_extract(Credit_History_Age, '(\d+)\s*Months?', 1) AS INTEGER), 0) END AS months
