@@ -1,8 +1,9 @@
 """Point-in-time feature store: one row per customer and feature snapshot.
 
-Every operator works for one snapshot (key ``Customer_ID``) and for many at once (keys
-``Customer_ID, snapshot``).  In the many-snapshot form each record is handed to the snapshots it
-serves right after the scan; from there on the same grouped and joined plan runs for all dates.
+``feature_store`` builds one snapshot, ``feature_store_backfill`` any number of them in one job.
+The backfill first reduces every source to at most one row per customer and date, moves these rows
+by customer, and only then spreads them over the snapshots they serve: the many rows per customer
+and snapshot are made, aggregated and joined where they are and never cross the network.
 """
 
 from __future__ import annotations
@@ -21,7 +22,13 @@ from ..functions.columns import (
     ratio_if_positive,
     with_prefix,
 )
-from ..sources.schemas import ATTRIBUTE_FEATURES, FINANCIAL_FEATURES, clickstream_features, ddl
+from ..sources.schemas import (
+    ATTRIBUTE_FEATURES,
+    CLICKSTREAM_STATISTICS,
+    FINANCIAL_FEATURES,
+    clickstream_features,
+    ddl,
+)
 
 # fixed values: occupation groups
 OCCUPATION_GROUPS = {
@@ -51,27 +58,23 @@ def as_of_slice(df: DataFrame, day: str) -> DataFrame:
     )
 
 
-def _each_month(df: DataFrame, first: Column, last: Column, start: str, end: str) -> DataFrame:
-    """One copy of a record per first-of-month snapshot in [first, last] and [start, end]."""
-    low = F.greatest(first, F.lit(start).cast("date"))
-    high = F.least(last, F.lit(end).cast("date"))
-    bounded = df.withColumns({"_low": low, "_high": high}).where("_low <= _high")
-    return bounded.withColumn(
-        "snapshot", F.explode(F.expr("sequence(_low, _high, interval 1 month)"))
-    ).drop("_low", "_high")
-
-
 def _first_snapshot(day: Column) -> Column:
     """The first-of-month date on or after a day."""
     return F.when(day == month_start(day), day).otherwise(F.add_months(month_start(day), 1))
 
 
-def spread_over_lookback(df: DataFrame, start: str, end: str, months: int = 6) -> DataFrame:
-    """Hand each record to every monthly snapshot whose lookback includes it."""
-    day = F.col("snapshot_date")
-    return _each_month(
-        df, _first_snapshot(day), month_start(F.add_months(day, months)), start, end
-    )
+def _snapshots(first: Column, last: Column, start: str, end: str) -> Column:
+    """First-of-month dates in [first, last] and [start, end]; no dates when one is missing."""
+    low = F.greatest(_first_snapshot(first), F.lit(start).cast("date"))
+    high = F.least(last, F.lit(end).cast("date"))
+    months = F.sequence(low, high, F.expr("interval 1 month"))
+    known = first.isNotNull() & last.isNotNull() & (low <= high)
+    return F.when(known, months).otherwise(F.array().cast("array<date>"))
+
+
+def _lookback_snapshots(day: Column, start: str, end: str, months: int) -> Column:
+    """The snapshots whose lookback includes a day."""
+    return _snapshots(day, month_start(F.add_months(day, months)), start, end)
 
 
 # --- behaviour -------------------------------------------------------------------------------
@@ -108,6 +111,75 @@ def variation(name: str) -> Column:
     return F.when(mean != 0, F.col(f"{name}_std") / F.abs(mean)).otherwise(0.0)
 
 
+def clickstream_backfill(
+    df: DataFrame, start: str, end: str, months: int = 6, prefix: str = "fe_"
+) -> DataFrame:
+    """``clickstream_aggregates`` of every customer and monthly snapshot.
+
+    Records are reduced to counts, sums and squared deviations per customer and date.  Those are
+    pooled per snapshot; deviations are taken from the customer's overall mean, which keeps the
+    pooled variance accurate.
+    """
+    features = with_prefix(df.columns, prefix)
+    per_date = []
+    for name in features:
+        c = F.col(name).cast("double")
+        per_date += [
+            F.count(c).alias(f"{name}_n"),
+            F.sum(c).alias(f"{name}_sum"),
+            (F.var_pop(c) * F.count(c)).alias(f"{name}_squares"),
+            F.min(name).alias(f"{name}_low"),
+            F.max(name).alias(f"{name}_high"),
+        ]
+    daily = df.groupBy("Customer_ID", "snapshot_date").agg(F.count("*").alias("_records"), *per_date)
+    customer = W.partitionBy("Customer_ID")
+    centred = daily.withColumns(
+        {
+            f"{name}_off": F.try_divide(f"{name}_sum", f"{name}_n")
+            - F.try_divide(F.sum(f"{name}_sum").over(customer), F.sum(f"{name}_n").over(customer))
+            for name in features
+        }
+    )
+    served = _lookback_snapshots(F.col("snapshot_date"), start, end, months)
+    spread = centred.withColumn("snapshot", F.explode(served))
+    pooled = []
+    for name in features:
+        n, off = F.col(f"{name}_n"), F.col(f"{name}_off")
+        pooled += [
+            F.sum(n).alias(f"{name}_n"),
+            F.sum(f"{name}_sum").alias(f"{name}_sum"),
+            F.sum(n * off).alias(f"{name}_off"),
+            F.sum(F.col(f"{name}_squares") + n * off * off).alias(f"{name}_squares"),
+            F.min(f"{name}_low").alias(f"{name}_min"),
+            F.max(f"{name}_high").alias(f"{name}_max"),
+        ]
+    grouped = spread.groupBy("Customer_ID", "snapshot").agg(
+        *pooled,
+        F.sum("_records").alias("clickstream_record_count"),
+        F.datediff(F.max("snapshot_date"), F.min("snapshot_date")).alias("clickstream_time_span_days"),
+    )
+    moments = {}
+    for name in features:
+        n, off = F.col(f"{name}_n"), F.col(f"{name}_off")
+        spread_squares = F.greatest(F.col(f"{name}_squares") - off * off / n, F.lit(0.0))
+        moments[f"{name}_mean"] = F.try_divide(f"{name}_sum", f"{name}_n")
+        moments[f"{name}_std"] = F.when(
+            n > 1,
+            F.when(F.col(f"{name}_min") == F.col(f"{name}_max"), 0.0).otherwise(
+                F.sqrt(spread_squares / (n - 1))
+            ),
+        )
+    measured = grouped.withColumns(moments)
+    measured = measured.withColumns({f"{name}_cv": variation(name) for name in features})
+    return measured.select(
+        "Customer_ID",
+        "snapshot",
+        *[f"{name}_{kind}" for name in features for kind in CLICKSTREAM_STATISTICS],
+        "clickstream_record_count",
+        "clickstream_time_span_days",
+    )
+
+
 # --- latest records --------------------------------------------------------------------------
 
 
@@ -120,7 +192,7 @@ def latest_record(
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def spread_latest(df: DataFrame, start: str, end: str) -> DataFrame:
+def latest_backfill(df: DataFrame, start: str, end: str) -> DataFrame:
     """The record that is the newest one at each monthly snapshot, per customer.
 
     Only one record per customer and date can ever be the newest; each serves the snapshots from
@@ -130,8 +202,8 @@ def spread_latest(df: DataFrame, start: str, end: str) -> DataFrame:
     following = F.lead("snapshot_date").over(W.partitionBy("Customer_ID").orderBy("snapshot_date"))
     until = F.coalesce(F.date_sub(following, 1), F.lit(end).cast("date"))
     valid = per_date.withColumn("_until", until)
-    day = F.col("snapshot_date")
-    return _each_month(valid, _first_snapshot(day), F.col("_until"), start, end).drop("_until")
+    served = _snapshots(F.col("snapshot_date"), F.col("_until"), start, end)
+    return valid.withColumn("snapshot", F.explode(served)).drop("_until")
 
 
 # --- demographic and financial features -------------------------------------------------------
@@ -220,6 +292,38 @@ def customer_universe(*sources: DataFrame) -> DataFrame:
     return result.distinct()
 
 
+def universe_backfill(
+    clickstream: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    start: str,
+    end: str,
+    months: int = 6,
+) -> DataFrame:
+    """Every customer of every snapshot: active in its lookback, or known from any time before it.
+
+    A customer is one row with the first date of being known and the (few) dates of activity
+    until these are spread over the snapshots.
+    """
+    day = F.col("snapshot_date")
+    active = clickstream.select("Customer_ID", day.alias("_active"), F.lit(None).cast("date").alias("_known"))
+    known = [
+        df.select("Customer_ID", F.lit(None).cast("date").alias("_active"), day.alias("_known"))
+        for df in (attributes, financials)
+    ]
+    customers = (
+        active.union(known[0])
+        .union(known[1])
+        .groupBy("Customer_ID")
+        .agg(F.min("_known").alias("_known"), F.collect_set("_active").alias("_active"))
+    )
+    always = _snapshots(F.col("_known"), F.lit(end).cast("date"), start, end)
+    lately = F.flatten(
+        F.transform("_active", lambda d: _lookback_snapshots(d, start, end, months))
+    )
+    return customers.select("Customer_ID", F.explode(F.array_union(always, lately)).alias("snapshot"))
+
+
 def combine_customer_centric(
     customers: DataFrame, financial: DataFrame, attributes: DataFrame, clickstream: DataFrame, day: str
 ) -> DataFrame:
@@ -293,32 +397,16 @@ def feature_store_backfill(
 ) -> DataFrame:
     """Feature store of every monthly snapshot from ``start`` to ``end`` in one job.
 
-    The universe of a snapshot is exactly the keys of its three feature sets, so a full outer join
-    replaces the separate pass over the sources.  Rows without a customer id belong to a snapshot's
-    universe but match nothing; they are added as one row without features.
+    All four sides of the joins come out distributed by customer.  Plan it inside
+    ``session.joins_by_key_prefix`` and the joins need no further shuffle.
     """
     keys = ["Customer_ID", "snapshot"]
-    behaviour = spread_over_lookback(clickstream, start, end, months)
-    demographics = spread_latest(attributes, start, end)
-    finances = spread_latest(financials, start, end)
-
-    def named(df: DataFrame) -> DataFrame:
-        return df.where(F.col("Customer_ID").isNotNull())
-
     combined = (
-        financial_features(named(finances), "snapshot")
-        .join(attribute_features(named(demographics), "snapshot"), keys, "full")
-        .join(clickstream_aggregates(named(behaviour), keys), keys, "full")
+        universe_backfill(clickstream, attributes, financials, start, end, months)
+        .join(financial_features(latest_backfill(financials, start, end), "snapshot"), keys, "left")
+        .join(attribute_features(latest_backfill(attributes, start, end), "snapshot"), keys, "left")
+        .join(clickstream_backfill(clickstream, start, end, months), keys, "left")
     )
-    nameless = None
-    for source, spread in (
-        (clickstream, lambda df: spread_over_lookback(df, start, end, months)),
-        (attributes, lambda df: spread_latest(df, start, end)),
-        (financials, lambda df: spread_latest(df, start, end)),
-    ):
-        dates = spread(source.where(F.col("Customer_ID").isNull())).select("Customer_ID", "snapshot")
-        nameless = dates if nameless is None else nameless.union(dates)
-    combined = combined.unionByName(nameless.distinct(), allowMissingColumns=True)
     return with_availability(with_interactions(combined)).withColumnRenamed(
         "snapshot", "feature_snapshot_date"
     )

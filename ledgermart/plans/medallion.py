@@ -16,6 +16,7 @@ from ..operators.calendar import month_calendar, with_enough_history
 from ..operators.features import feature_store_backfill
 from ..operators.ledger import label_store, silver_ledger
 from ..operators.silver import silver_features
+from ..session import joins_by_key_prefix
 from ..sources import stores
 from .lake import Lake
 
@@ -67,7 +68,8 @@ def build_features(
         return
     sources = [spark.read.parquet(lake.silver(source)) for source in FEATURE_SOURCES]
     store = feature_store_backfill(*sources, str(first), end, months)
-    stores.write_snapshots(store, lake.features, ("feature_snapshot_date",))
+    with joins_by_key_prefix(spark):
+        stores.write_snapshots(store, lake.features, ("feature_snapshot_date",))
 
 
 def run_medallion(

@@ -79,8 +79,7 @@ def clickstream_aggregates(t):
     sql="SELECT d AS snapshot, * EXCLUDE (d) FROM clickstream_features",
 )
 def clickstream_all(t):
-    spread = f.spread_over_lookback(silver_sources(t)[0], FIRST_SNAPSHOT, LAST_MONTH)
-    return f.clickstream_aggregates(spread, ["Customer_ID", "snapshot"])
+    return f.clickstream_backfill(silver_sources(t)[0], FIRST_SNAPSHOT, LAST_MONTH)
 
 
 @registry.add(
@@ -178,6 +177,16 @@ def universe(t):
     )
 
 
+@registry.add(
+    "customer_universe_all_snapshots",
+    out="Customer_ID snapshot",
+    views="universe",
+    sql="SELECT d AS snapshot, Customer_ID FROM universe",
+)
+def universe_all(t):
+    return f.universe_backfill(*silver_sources(t), FIRST_SNAPSHOT, LAST_MONTH)
+
+
 @registry.add(
     "customer_centric_join",
     out=f"Customer_ID feature_snapshot_date {_FINANCES} {_ATTRIBUTES} {_CLICKS}",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,7 @@ _DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+CO_PARTITION_KEY = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def local_session(app: str = "ledgermart", cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -27,7 +30,7 @@ def local_session(app: str = "ledgermart", cores: int | str = "*", partitions: i
         .config("spark.driver.memory", os.environ.get("LEDGERMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for key, value in _DEFAULTS.items():
+    for key, value in {**_DEFAULTS, CO_PARTITION_KEY: "false"}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,3 +54,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of a frame that several plans read, computed once and kept in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def joins_by_key_prefix(spark: SparkSession) -> Iterator[None]:
+    """Let joins on (customer, snapshot) run where rows are already distributed by customer.
+
+    Spark otherwise shuffles both sides again by all join keys.  The setting is read when a query
+    is planned, so the action has to happen inside.
+    """
+    before = spark.conf.get(CO_PARTITION_KEY)
+    spark.conf.set(CO_PARTITION_KEY, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(CO_PARTITION_KEY, before)
