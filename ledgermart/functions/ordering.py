@@ -54,9 +54,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<w>_before`` (sum over earlier rows of the group) and ``<w>_total`` for every weight.
 
-    ``bucket`` must not decrease along ``order``.
+    ``bucket`` must not decrease along ``order``.  The conditions that the join below implies are
+    spelled out first, so that both of its sides are planned alike and share their exchanges.
     """
     marked = df.withColumn("_bucket", bucket)
+    for column in (*keys, "_bucket"):
+        marked = marked.where(F.col(column).isNotNull())
     bucket_sums = marked.groupBy(*keys, "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
     earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy(*keys)
@@ -65,7 +68,7 @@ def running_totals(
         "_bucket",
         *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_{w}_start") for w in weights],
         *[F.sum(w).over(everything).alias(f"{w}_total") for w in weights],
-    )
+    ).repartition(*keys, "_bucket")
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return marked.join(starts, [*keys, "_bucket"]).select(
         *df.columns,

@@ -30,7 +30,7 @@ def local_session(app: str = "ledgermart", cores: int | str = "*", partitions: i
         .config("spark.driver.memory", os.environ.get("LEDGERMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for key, value in {**_DEFAULTS, CO_PARTITION_KEY: "false"}.items():
+    for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,7 +61,8 @@ def joins_by_key_prefix(spark: SparkSession) -> Iterator[None]:
     """Let joins on (customer, snapshot) run where rows are already distributed by customer.
 
     Spark otherwise shuffles both sides again by all join keys.  The setting is read when a query
-    is planned, so the action has to happen inside.
+    is planned, so the action has to happen inside.  It is not for whole sessions: where a prefix
+    of the keys has few values it would bring all rows to a few tasks.
     """
     before = spark.conf.get(CO_PARTITION_KEY)
     spark.conf.set(CO_PARTITION_KEY, "false")
