@@ -111,6 +111,12 @@ def variation(name: str) -> Column:
     return F.when(mean != 0, F.col(f"{name}_std") / F.abs(mean)).otherwise(0.0)
 
 
+def lookback_span(df: DataFrame, start: str, end: str, months: int) -> DataFrame:
+    """Records that any snapshot from ``start`` to ``end`` can see in its lookback."""
+    earliest = F.add_months(month_start(F.lit(start).cast("date")), -months)
+    return df.where(F.col("snapshot_date").between(earliest, F.lit(end).cast("date")))
+
+
 def clickstream_backfill(
     df: DataFrame, start: str, end: str, months: int = 6, prefix: str = "fe_"
 ) -> DataFrame:
@@ -131,7 +137,11 @@ def clickstream_backfill(
             F.min(name).alias(f"{name}_low"),
             F.max(name).alias(f"{name}_high"),
         ]
-    daily = df.groupBy("Customer_ID", "snapshot_date").agg(F.count("*").alias("_records"), *per_date)
+    daily = (
+        lookback_span(df, start, end, months)
+        .groupBy("Customer_ID", "snapshot_date")
+        .agg(F.count("*").alias("_records"), *per_date)
+    )
     customer = W.partitionBy("Customer_ID")
     centred = daily.withColumns(
         {
@@ -198,7 +208,8 @@ def latest_backfill(df: DataFrame, start: str, end: str) -> DataFrame:
     Only one record per customer and date can ever be the newest; each serves the snapshots from
     its date to the day before the customer's next record.
     """
-    per_date = latest_record(df, ("Customer_ID", "snapshot_date"))
+    known = df.where(F.col("snapshot_date") <= F.lit(end).cast("date"))
+    per_date = latest_record(known, ("Customer_ID", "snapshot_date"))
     following = F.lead("snapshot_date").over(W.partitionBy("Customer_ID").orderBy("snapshot_date"))
     until = F.coalesce(F.date_sub(following, 1), F.lit(end).cast("date"))
     valid = per_date.withColumn("_until", until)
@@ -306,9 +317,12 @@ def universe_backfill(
     until these are spread over the snapshots.
     """
     day = F.col("snapshot_date")
-    active = clickstream.select("Customer_ID", day.alias("_active"), F.lit(None).cast("date").alias("_known"))
+    nothing, last = F.lit(None).cast("date"), F.lit(end).cast("date")
+    active = lookback_span(clickstream, start, end, months).select(
+        "Customer_ID", day.alias("_active"), nothing.alias("_known")
+    )
     known = [
-        df.select("Customer_ID", F.lit(None).cast("date").alias("_active"), day.alias("_known"))
+        df.where(day <= last).select("Customer_ID", nothing.alias("_active"), day.alias("_known"))
         for df in (attributes, financials)
     ]
     customers = (
@@ -317,7 +331,7 @@ def universe_backfill(
         .groupBy("Customer_ID")
         .agg(F.min("_known").alias("_known"), F.collect_set("_active").alias("_active"))
     )
-    always = _snapshots(F.col("_known"), F.lit(end).cast("date"), start, end)
+    always = _snapshots(F.col("_known"), last, start, end)
     lately = F.flatten(
         F.transform("_active", lambda d: _lookback_snapshots(d, start, end, months))
     )

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 
 from ledgermart.operators import features as f
@@ -130,3 +131,32 @@ def test_empty_sources_keep_all_columns(spark, clicks, people, money):
     )
     assert set(f.empty_features(spark, "attributes").columns) == set(f.attribute_features(people).columns)
     assert set(f.empty_features(spark, "financials").columns) == set(f.financial_features(money).columns)
+
+
+def test_backfill_with_a_hot_customer(spark):
+    """A third of all rows belong to one customer, many of them to the same date."""
+    rng = np.random.default_rng(11)
+    customers = np.where(rng.random(900) < 0.35, "hot", (rng.integers(0, 60, 900)).astype(str))
+    months = rng.integers(0, 12, 900)
+    values = np.where(rng.random(900) < 0.1, np.nan, rng.normal(1000, 3, 900).round(2))
+    rows = [
+        (str(c), D(2024, int(m) + 1, 1), None if np.isnan(v) else float(v), 7.0 if c == "hot" else float(m - 5))
+        for c, m, v in zip(customers, months, values)
+    ]
+    df = spark.createDataFrame(
+        rows, "Customer_ID string, snapshot_date date, fe_1 float, fe_2 float"
+    )
+    every = f.clickstream_backfill(df, "2024-03-01", "2024-12-01", months=3).collect()
+    for day in ("2024-03-01", "2024-08-01", "2024-12-01"):
+        wanted = {
+            r.Customer_ID: r
+            for r in f.clickstream_aggregates(f.lookback_slice(df, day, 3)).collect()
+        }
+        got = {r.Customer_ID: r for r in every if str(r.snapshot) == day}
+        assert got.keys() == wanted.keys()
+        for customer, row in wanted.items():
+            for name, value in row.asDict().items():
+                if isinstance(value, float):
+                    assert got[customer][name] == pytest.approx(value, rel=1e-9, abs=1e-12), name
+                else:
+                    assert got[customer][name] == value, name
