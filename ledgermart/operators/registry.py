@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .monitoring import DATE, LABEL, MODEL, SCORE, auc_by_split
@@ -82,9 +81,3 @@ def validation_report(scored: DataFrame) -> DataFrame:
     )
     auc = auc_by_split(scored, [MODEL], SCORE, LABEL).drop("gini")
     return moments.join(auc, MODEL, "left").withColumnRenamed("auc", "auc_score")
-
-
-def ranked_versions(registry: DataFrame, metric: str) -> DataFrame:
-    """Versions of each type by a metric, best first."""
-    order = W.partitionBy("model_type").orderBy(F.desc(metric), MODEL)
-    return with_version_parts(registry).withColumn("place", F.row_number().over(order))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as f
 from ..operators import silver
-from ..sources.sample_tables import FIRST_MONTH, LAST_MONTH
+from ..sources.sample_tables import LAST_MONTH
 from ..sources.schemas import FINANCIAL_FEATURES
 from .check import Registry
 

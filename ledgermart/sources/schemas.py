@@ -32,10 +32,6 @@ FINANCIAL_FLOATS = [
     "Monthly_Balance",
 ]
 LABEL_STORE_SCHEMA = "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
-ALERT_SCHEMA = (
-    "type string, severity string, metric string, date date, value double, "
-    "baseline double, degradation_pct double, message string"
-)
 
 ATTRIBUTE_FEATURES = {
     "Customer_ID": "string",

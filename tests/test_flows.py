@@ -33,7 +33,9 @@ def lake(spark, raw, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def trained(spark, lake):
-    return models.run_training(spark, lake, END, ["lr"], draws=1, folds=2).collect()
+    return models.run_batch_training(
+        spark, lake, [END], model_types=["lr"], draws=1, folds=2
+    ).collect()
 
 
 def _same_rows(left, right):
