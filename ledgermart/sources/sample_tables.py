@@ -31,9 +31,12 @@ class SampleTables:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def orders(self) -> DataFrame:
