@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: module and query of every numbered operator
 OPERATORS = {
     "op5_quality_rules": "quality",
+    "op6_license_scan": "licenses",
     "op8_mixing": "mixing",
     "op10_decontamination": "decontamination",
 }
