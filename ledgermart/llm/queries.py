@@ -12,6 +12,7 @@ OPERATORS = {
     "op5_quality_rules": "quality",
     "op6_license_scan": "licenses",
     "op8_mixing": "mixing",
+    "op9_chat_format": "chat",
     "op10_decontamination": "decontamination",
 }
 
