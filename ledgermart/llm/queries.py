@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: module and query of every numbered operator
 OPERATORS = {
+    "op3_language_id": "language",
+    "op4_token_ids": "tokens",
     "op5_quality_rules": "quality",
     "op6_license_scan": "licenses",
     "op8_mixing": "mixing",
