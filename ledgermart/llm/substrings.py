@@ -9,7 +9,7 @@ than one of them, and documents go to the shard instead of every shard to every
 2. Segments whose minimizer occurs once in the corpus are done.  Of the others each different segment is
    kept once, with the number of its occurrences.
 3. The segments of a minimizer are a reference shard: a suffix automaton over their words, whose states
-   count occurrences.  The segments are streamed through it; where the matching statistic reaches
+   count occurrences.  (A shard of one segment needs no words: all its states count the same.)  The segments are streamed through it; where the matching statistic reaches
    ``size`` and the state of the last ``size`` words counts two or more, the window is repeated.
 4. Marks go back to all occurrences, and each document joins its marks into maximal spans.
 
@@ -264,12 +264,14 @@ def marks(keyed: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     distinct = repeated.groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "place")).alias("one")
     )
-    distinct = distinct.select("anchor", "digest", "n", "one.*")
-    worded = staged(_with_words(keyed, distinct, size), "segment-words")
-    sizes = worded.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"))
-    many = sizes.where(F.col("k") > SHARD).select("anchor")
-    few = _by_automata(worded.join(many, "anchor", "left_anti"), size)
-    masks = few.unionByName(_by_counts(worded.join(many, "anchor"), size)).where("mask <> 0")
+    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"))
+    shards = staged(distinct.select("anchor", "digest", "n", "one.*").join(sizes, "anchor"), "shards")
+    # a shard of one segment: every state of its automaton counts that segment's occurrences
+    windows = F.col("place").bitwiseAND(F.lit(255)).cast("int") + 1
+    lone = shards.where("k = 1 and n > 1").select("anchor", "digest", (F.call_function("shiftleft", F.lit(1).cast("long"), windows) - 1).alias("mask"))
+    few = _by_automata(_with_words(keyed, shards.where((F.col("k") > 1) & (F.col("k") <= SHARD)), size), size)
+    many = _by_counts(_with_words(keyed, shards.where(F.col("k") > SHARD), size), size)
+    masks = lone.unionByName(few).unionByName(many).where("mask <> 0")
     hit = repeated.join(masks, ["anchor", "digest"])
     return hit.groupBy("id", "hash").agg(
         F.collect_set(F.struct(F.shiftright("place", 8).alias("first"), "mask")).alias("marks")
