@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: module and query of every numbered operator
 OPERATORS = {
+    "op2_substring_dedup": "substrings",
     "op3_language_id": "language",
     "op4_token_ids": "tokens",
     "op5_quality_rules": "quality",
     "op6_license_scan": "licenses",
+    "op7_jaccard_join": "jaccard",
     "op8_mixing": "mixing",
     "op9_chat_format": "chat",
     "op10_decontamination": "decontamination",
