@@ -201,23 +201,26 @@ def formatted(turns: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("slice", F.spark_partition_id().cast("long"))
 
     def chunks(batches):
+        rows, held = [], 0
         conv, part, n, texts, spans, size, where = None, 0, 0, [], [], 0, 0
         began = False
 
-        def out():
-            return pd.DataFrame(
-                {"conv_id": pd.Series([conv], dtype="Int64"), "slice": [where], "chunk": [part], "n_turns": [n],
-                 "formatted": ["".join(texts)], "loss": [spans]}
-            )
+        def frame():
+            out = pd.DataFrame(rows, columns=["conv_id", "slice", "chunk", "n_turns", "formatted", "loss"])
+            out["conv_id"] = pd.Series([r[0] for r in rows], dtype="Int64")
+            return out
 
         for batch in batches:
-            for c, role, text, s in zip(
-                batch["conv_id"].astype("Int64").tolist(), batch["role"].tolist(), batch["text"].tolist(), batch["slice"].tolist(), strict=True
-            ):
+            keys = batch["conv_id"].astype("Int64").tolist()
+            for c, role, text, s in zip(keys, batch["role"].tolist(), batch["text"].tolist(), batch["slice"].tolist(), strict=True):
                 c = None if c is pd.NA else c
                 if began and (c != conv or size >= CHUNK):
-                    yield out()
+                    rows.append((conv, where, part, n, "".join(texts), spans))
+                    held += size
                     part, n, texts, spans, size = part + 1, 0, [], [], 0
+                    if held >= 8 * CHUNK:
+                        yield frame()
+                        rows, held = [], 0
                 conv, where, began = c, s, True
                 piece, start, end = render(role, text)
                 if role == "assistant":
@@ -225,7 +228,8 @@ def formatted(turns: DataFrame) -> DataFrame:
                 texts.append(piece)
                 size, n = size + len(piece), n + 1
         if began:
-            yield out()
+            rows.append((conv, where, part, n, "".join(texts), spans))
+            yield frame()
 
     return dealt.mapInPandas(chunks, FORMATTED)
 
