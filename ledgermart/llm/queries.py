@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: module and query of every numbered operator
 OPERATORS = {
+    "op1_pii_surrogates": "surrogates",
     "op2_substring_dedup": "substrings",
     "op3_language_id": "language",
     "op4_token_ids": "tokens",
