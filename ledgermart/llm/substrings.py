@@ -260,11 +260,14 @@ def marks(keyed: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """``id, hash, marks``: per text its repeated windows as (first window, mask)."""
     found = segments(keyed, size, gram)
     twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # staged, so that the join below deals out both sides itself and may split a hot anchor
+    twice = staged(twice, "repeated-anchors")
     repeated = staged(found.join(twice, "anchor"), "repeated-segments")
     distinct = repeated.groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "place")).alias("one")
     )
-    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"))
+    distinct = staged(distinct, "segments")
+    sizes = staged(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")), "shard-sizes")
     shards = staged(distinct.select("anchor", "digest", "n", "one.*").join(sizes, "anchor"), "shards")
     # a shard of one segment: every state of its automaton counts that segment's occurrences
     windows = F.col("place").bitwiseAND(F.lit(255)).cast("int") + 1
