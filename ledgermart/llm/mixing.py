@@ -12,7 +12,7 @@ per round over the table of sources.
 
 Defined cases: a null text has size 0; the null source is a source of its own, ordered last; documents of
 size 0 take no words; rows that repeat are drawn one by one; an empty table gives no rows; extra columns
-are kept by :func:`mixed`, columns named like internal ones (``_size`` ...) are replaced.
+are kept by :func:`mixed`, whatever their names.
 """
 
 from __future__ import annotations
@@ -79,10 +79,9 @@ def _offset(seed: str) -> Column:
 
 
 def sampled(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """All rows of ``docs`` with ``_size, _source_size, _target, _copies``.  Needs ``source, doc_id, _size``."""
+    """All rows of ``docs`` (see :func:`sized`) with ``_source_size, _target, _copies``."""
     spark = docs.sparkSession
-    rest = [F.col(f"`{c}`") for c in docs.columns if c in ("lang", "n_chars")]
-    order = [F.col("source").asc_nulls_last(), F.col("_size"), F.col("doc_id"), *rest]
+    order = [F.col("source").asc_nulls_last(), "_size", "doc_id", "_tie"]
     rows = in_order(docs, order, slices(spark))
     places = rows.groupBy("_slice", "source").agg(
         F.min("_at").alias("_first"), F.count(F.lit(1)).alias("n"), F.sum("_size").alias("size")
@@ -117,23 +116,21 @@ def sampled(docs: DataFrame, seed: str = SEED) -> DataFrame:
     )
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.drop("_size", "_source_size", "_target", "_copies", "_slice", "_at", "_mid").withColumn(
-        "_size", F.size(words_of(F.col("text"))).cast("long")
-    )
+def sized(docs: DataFrame, *kept: Column) -> DataFrame:
+    """``doc_id, source, _size, _tie`` of every row, and the columns asked for."""
+    size = F.size(words_of(F.col("text"))).cast("long")
+    return docs.select("doc_id", "source", size.alias("_size"), F.xxhash64("text").alias("_tie"), *kept)
 
 
 def mixed(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: every row as often as it is drawn, with the columns of ``docs``."""
-    drawn = sampled(sized(docs), seed).where("_copies > 0")
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    drawn = sampled(sized(docs, whole), seed).where("_copies > 0")
+    return drawn.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
 
 
 def op8_mixing(spark: SparkSession, directory: str) -> DataFrame:
-    docs = sized(table(spark, directory, "documents").select("doc_id", "source", "text")).drop("text")
-    return sampled(docs).select(
+    return sampled(sized(table(spark, directory, "documents"))).select(
         "doc_id",
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
