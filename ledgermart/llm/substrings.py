@@ -326,13 +326,16 @@ def with_kept(docs: DataFrame, size: int = SIZE, text: bool = True) -> DataFrame
 
 def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """``docs`` with repeated spans taken out of the texts; a text that loses nothing stays as it is."""
-    short = with_kept(docs, size).where("n_removed > 0").select("id", "hash", "kept").dropDuplicates(["id", "hash"])
-    own = docs.withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64("text")}
+    short = with_kept(docs, size).where("n_removed > 0").dropDuplicates(["id", "hash"])
+    short = short.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("kept").alias("_kept"))
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
+        F.xxhash64("text").alias("_hash"),
     )
-    joined = own.join(short, (F.col("_id") == F.col("id")) & (F.col("_hash") == F.col("hash")), "left")
-    columns = [F.coalesce("kept", F.col("text")).alias(c) if c == "text" else own[f"`{c}`"] for c in docs.columns]
-    return joined.select(*columns)
+    columns = {c: F.col(f"_row.`{c}`") for c in docs.columns}
+    columns["text"] = F.coalesce("_kept", columns["text"])
+    return own.join(short, ["_id", "_hash"], "left").select(*[v.alias(c) for c, v in columns.items()])
 
 
 def op2_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
