@@ -32,58 +32,90 @@ from .common import slices, stage_path, table
 BLOCK = 1 << 18
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: pieces whose ids a task remembers before it starts afresh
-REMEMBERED = 300_000
+#: strings of each kind whose ids a task remembers, twice over
+REMEMBERED = 150_000
 _ENCODERS: dict = {}
 
 
+class Remembered(dict):
+    """A function's values, of at most ``2 * limit`` keys: of two generations the older is given up."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
-    """A byte-level BPE tokenizer of the ``tokenizers`` library that remembers the ids of pieces.
+    """A byte-level BPE tokenizer of the ``tokenizers`` library that remembers the ids of words.
 
-    The tokenizer cuts a text into pieces before it merges, so the ids of a text are those of its pieces.
-    Texts that hold an added token, and tokenizers that cut in another way, are encoded whole.
+    The tokenizer cuts a text into pieces before it merges, and a space that a visible character follows
+    always begins a piece.  So a text's ids are those of its space-separated words, and a word's ids are
+    those of its pieces; the library's model merges each piece that is not remembered.  Texts that hold an
+    added token or separator controls, and tokenizers that cut in another way, are encoded whole.
     """
 
     def __init__(self, path: str):
         import json
+        import re
+        from array import array
 
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         config = json.loads(self.tokenizer.to_str())
-        self.added = [t["content"] for t in config["added_tokens"]]
         cut = config["pre_tokenizer"] or {}
         plain = config["normalizer"] is None and config["post_processor"] is None and config["truncation"] is None
-        by_piece = plain and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+        self.by_word = plain and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+        self.size = self.tokenizer.get_vocab_size()
+        self.kind, code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
         # Fixed value: how byte-level BPE cuts a text.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.pieces = regex.compile(pattern).findall if by_piece else None
-        self.size = self.tokenizer.get_vocab_size()
-        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
+        cut_pieces, model, alphabet = regex.compile(pattern).findall, self.tokenizer.model, byte_alphabet()
+
+        def merged(piece: str) -> bytes:
+            return array(code, [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(alphabet))]).tobytes()
 
-    def _packed(self, ids) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        self.pieces = Remembered(merged, REMEMBERED)
+        self.word = lambda text: b"".join(map(self.pieces.__getitem__, cut_pieces(text)))
+        self.words = Remembered(lambda word: self.word(" " + word), REMEMBERED)
+        added = "|".join(map(re.escape, (t["content"] for t in config["added_tokens"])))
+        self.whole = re.compile(r"[\x1c-\x1f]" + ("|" + added if added else "")).search
+        self.loose = re.compile(r" (?:\s|\Z)").search
+        self.cut = re.compile(r"(?= \S)").split
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text, with the end id."""
-        end = self._packed([END])
-        out: list = []
-        known = self.known
+        end = np.array([END], self.kind).tobytes()
+        out = []
         for text in texts:
             text = text or ""
-            if self.pieces is None or any(a in text for a in self.added):
-                out.append(self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + end)
+            if not self.by_word or self.whole(text):
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes() + end)
                 continue
-            if len(known) > REMEMBERED:
-                known.clear()
-            pieces = self.pieces(text)
-            new = list({p for p in pieces if p not in known})
-            if new:
-                found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-                known.update((p, self._packed(e.ids)) for p, e in zip(new, found, strict=True))
-            out.append(b"".join(map(known.__getitem__, pieces)) + end)
+            if self.loose(text):
+                head, *rest = self.cut(text)
+                rest = [part[1:] for part in rest]
+            else:
+                head, *rest = text.split(" ")
+            out.append(self.word(head) + b"".join(map(self.words.__getitem__, rest)) + end)
         return out
 
 

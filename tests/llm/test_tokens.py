@@ -46,10 +46,12 @@ def test_blocks_round_trip(n):
     assert (huffman.decode(data, n, checkpoints, huffman.decoding_table(lengths)) == ids).all()
 
 
-TEXTS = ["", "plain words, isn't it?  two  spaces\n\n\ttabs", "été 東京 🙂 ''s 'll I'VE", "<|endoftext|> inside <|endoftext|>", " " * 50, "a" * 5000]
+TEXTS = ["", "plain words, isn't it?  two  spaces\n\n\ttabs", "été 東京 🙂 ''s 'll I'VE", "<|endoftext|> inside <|endoftext|>", " " * 50, "a" * 5000, " lead", "trail ", "a \n b\x1c c\x85 d\xa0 e", "\n x  \u2003 y", "don't  we'll 've"]
 
 
-def test_pieces_give_the_ids_of_the_library(samples):
+@pytest.mark.parametrize("limit", [150_000, 5])
+def test_words_give_the_ids_of_the_library(samples, monkeypatch, limit):
+    monkeypatch.setattr(tokens, "REMEMBERED", limit)
     made = tokens.Encoder(tokens.vocabulary())
     library = Tokenizer.from_file(tokens.vocabulary())
     texts = TEXTS + list(samples.values())
@@ -57,6 +59,14 @@ def test_pieces_give_the_ids_of_the_library(samples):
         assert np.frombuffer(packed, made.kind).tolist() == library.encode(text, add_special_tokens=False).ids + [0]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(" \n\t'sdlvrea1é!\x1c\u2003東"), max_size=20))
+def test_any_white_space_gives_the_ids_of_the_library(text):
+    made = tokens.encoder(tokens.vocabulary())
+    want = made.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(made.encode([text])[0], made.kind).tolist() == [*want, 0]
+
+
 @pytest.mark.parametrize("block", [1 << 18, 50])
 def test_files_round_trip(spark, documents, monkeypatch, block):
     monkeypatch.setattr(tokens, "BLOCK", block)
