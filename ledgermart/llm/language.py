@@ -111,12 +111,13 @@ def held_out(doc_id: Column) -> Column:
 def training_cells(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[np.ndarray, list[str]]:
     """0/1 rows of a bounded sample of labelled documents, by language in hash order."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    key = F.xxhash64(F.col("doc_id"))
-    first = Window.partitionBy("lang").orderBy(key, "doc_id")
-    # only ids travel; the rank is limited before the shuffle
-    chosen = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(first))
-    chosen = chosen.where(F.col("place") <= per_language).join(F.broadcast(common), "lang", "left_semi")
+    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    # about one and a half times the rows wanted pass this test, so a frequent language ranks no more of them
+    drawn = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20))
+    reach = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(-(-(per_language * 3 << 19) // r["count"]))) for r in common], F.lit(0))
+    first = Window.partitionBy("lang").orderBy(drawn, "doc_id")
+    chosen = usable.select("doc_id", "lang").where(drawn < reach).withColumn("place", F.row_number().over(first))
+    chosen = chosen.where(F.col("place") <= per_language)
     chosen = chosen.select("doc_id", F.col("lang").alias("taught"), "place").distinct()
     texts = usable.join(F.broadcast(chosen), "doc_id").where(F.col("lang") == F.col("taught"))
 
