@@ -2,10 +2,11 @@
 
 A plain window or ``percentile`` over a large group sorts or hashes all of it in one task.
 The functions here work in two levels instead: values are first collapsed to counts (a hot
-value becomes one row already on the map side), then cut into *buckets* by a monotone integer
-of the value.  Bucket totals are few and give every bucket its start; the running total inside
-a bucket is a window partitioned by (keys, bucket).  The bucket only spreads the work, results
-do not depend on it.  Group keys must not be NULL.
+value becomes one row already on the map side), then cut into *buckets* at quantiles of the
+group's own values.  Bucket totals are few and give every bucket its start; the running total
+inside a bucket is a window partitioned by (keys, bucket).  The quantiles are approximate, but
+they only spread the work: results do not depend on them.  NULL keys form a group of their own,
+NULL values come first.
 """
 
 from __future__ import annotations
@@ -16,61 +17,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_LOG_STEPS = 512
-_SHARE_STEPS = 4096
+BUCKETS = 128  # per group; bounds the cut points that a row of the group is compared with
 
 
-def magnitude_bucket(value: Column) -> Column:
-    """Monotone bucket for any number: about 0.2 % wide on a logarithmic scale."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_STEPS)
-
-
-def share_bucket(value: Column) -> Column:
-    """Monotone bucket for scores between 0 and 1."""
-    return F.floor(value * _SHARE_STEPS)
-
-
-def text_bucket(value: Column, length: int = 3) -> Column:
-    """Monotone bucket for text: its leading characters."""
-    return F.substring(value, 1, length)
+def present(value: Column) -> Column:
+    """Neither NULL nor NaN."""
+    return value.isNotNull() & ~F.isnan(value.cast("double"))
 
 
-def hash_bucket(value: Column) -> Column:
-    """Monotone bucket for 64-bit hashes: their 13 leading bits."""
-    return F.shiftright(value, 51)
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Equal keys, NULL equal to NULL; without keys every row matches."""
+    same = F.col(f"{left}._all") == F.col(f"{right}._all")
+    for key in keys:
+        same = same & F.col(f"{left}.`{key}`").eqNullSafe(F.col(f"{right}.`{key}`"))
+    return same
 
 
-def present(value: Column) -> Column:
-    """Neither NULL nor NaN."""
-    return value.isNotNull() & ~F.isnan(value.cast("double"))
+def _cuts(marked: DataFrame, keys: Sequence[str], text: bool) -> DataFrame:
+    """Per group at most about ``BUCKETS`` ascending values that cut it into even parts."""
+    if not text:
+        shares = [i / BUCKETS for i in range(1, BUCKETS)]
+        return marked.groupBy("_all", *keys).agg(
+            F.array_distinct(F.percentile_approx(F.col("_by").cast("double"), shares, 2000)).alias("_cuts")
+        )
+    # text has no approximate quantiles: a hashed sample of known expected size stands for the group
+    sizes = marked.groupBy("_all", *keys).agg(F.count("*").alias("_n"))
+    drawn = F.pmod(F.xxhash64("_by"), F.lit(1 << 30)) * F.col("_n") < F.lit(BUCKETS << 30)
+    joined = marked.alias("m").join(sizes.alias("s"), _same("m", "s", keys)).where(drawn)
+    own = [F.col(f"m.`{c}`") for c in ("_all", *keys)]
+    return joined.groupBy(*own).agg(F.array_sort(F.collect_set(F.col("m._by"))).alias("_cuts"))
 
 
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
-    bucket: Column,
+    by: Column,
     weights: Sequence[str],
+    text: bool = False,
 ) -> DataFrame:
     """Add ``<w>_before`` (sum over earlier rows of the group) and ``<w>_total`` for every weight.
 
-    ``bucket`` must not decrease along ``order``.  The conditions that the join below implies are
-    spelled out first, so that both of its sides are planned alike and share their exchanges.
+    ``by`` must not decrease along ``order``: a number or, with ``text``, a string.
     """
-    marked = df.withColumn("_bucket", bucket)
-    for column in (*keys, "_bucket"):
-        marked = marked.where(F.col(column).isNotNull())
-    bucket_sums = marked.groupBy(*keys, "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
-    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    everything = W.partitionBy(*keys)
+    marked = df.withColumns({"_all": F.lit(0), "_by": by})
+    cuts = _cuts(marked, keys, text)
+    if not keys:
+        cuts = F.broadcast(cuts)  # one row
+    value = F.col("m._by") if text else F.col("m._by").cast("double")
+    bucket = F.coalesce(F.size(F.filter("c._cuts", lambda cut: cut < value)), F.lit(0))
+    marked = marked.alias("m").join(cuts.alias("c"), _same("m", "c", keys), "left").select(
+        *[F.col(f"m.`{c}`") for c in ("_all", *df.columns)], F.greatest(bucket, F.lit(0)).alias("_bucket")
+    )
+    bucket_sums = marked.groupBy("_all", *keys, "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
+    earlier = W.partitionBy("_all", *keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    everything = W.partitionBy("_all", *keys)
     starts = bucket_sums.select(
+        "_all",
         *keys,
         "_bucket",
         *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_{w}_start") for w in weights],
         *[F.sum(w).over(everything).alias(f"{w}_total") for w in weights],
-    ).repartition(*keys, "_bucket")
+    )
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    return marked.join(starts, [*keys, "_bucket"]).select(
+    same = _same("m", "s", keys) & (F.col("m._bucket") == F.col("s._bucket"))
+    joined = marked.alias("m").join(starts.alias("s"), same).select(
+        *[F.col(f"m.`{c}`") for c in (*df.columns, "_bucket")],
+        *[F.col(f"s.{c}") for w in weights for c in (f"_{w}_start", f"{w}_total")],
+    )
+    return joined.select(
         *df.columns,
         *[
             (F.col(f"_{w}_start") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_before")
@@ -81,10 +96,10 @@ def running_totals(
 
 
 def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], bucket: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by: Column, text: bool = False
 ) -> DataFrame:
     """Add ``position`` (0-based place of the row in its group) and ``group_size``."""
-    placed = running_totals(df.withColumn("_one", F.lit(1)), keys, order, bucket, ["_one"])
+    placed = running_totals(df.withColumn("_one", F.lit(1)), keys, order, by, ["_one"], text)
     return placed.select(
         *df.columns,
         F.col("_one_before").alias("position"),
@@ -134,7 +149,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles with linear interpolation: one row per group, one column per probability."""
     placed = running_totals(
-        value_counts(df, keys, value), keys, [value], magnitude_bucket(F.col(value)), ["n"]
+        value_counts(df, keys, value), keys, [value], F.col(value), ["n"]
     )
     aggregates, results = quantile_parts(
         F.col(value), F.col("n"), F.col("n_before"), F.col("n_total"), probabilities
@@ -164,7 +179,7 @@ def class_counts(
 def place_classes(counts: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
     """Class counts with the number of each class below them."""
     return running_totals(
-        counts, keys, [score], share_bucket(F.col(score)), ["positives", "negatives"]
+        counts, keys, [score], F.col(score), ["positives", "negatives"]
     )
 
 
@@ -194,7 +209,7 @@ def ks_statistic(df: DataFrame, keys: Sequence[str], score: str, in_second: str)
         )
     )
     placed = running_totals(
-        counted, keys, ["_score"], share_bucket(F.col("_score")), ["first", "second"]
+        counted, keys, ["_score"], F.col("_score"), ["first", "second"]
     )
     gap = F.abs(
         F.try_divide(F.col("first_before") + F.col("first"), F.col("first_total"))

@@ -17,11 +17,9 @@ from pyspark.sql import types as T
 from ..functions.columns import exclude, iso_day
 from ..functions.ordering import (
     exact_quantiles,
-    hash_bucket,
     long_form,
     positions,
     present,
-    text_bucket,
 )
 from .calendar import TrainingWindow
 
@@ -94,7 +92,8 @@ def with_ordered_split(
     """Add ``split``: the first part of the rows by (date, key) trains, the rest tests.
 
     No global sort: rows per date (few) give the date the cut falls on, and only that date's keys
-    are ordered, to find the last one that still trains.
+    are ordered.  Rows that share the last training key are told apart by a hash of all columns, so
+    the sizes of both parts are exact; only rows equal in every column stay together.
     """
     per_date = rows.groupBy(date).agg(F.count("*").alias("n"))
     running = W.orderBy(date).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -107,15 +106,15 @@ def with_ordered_split(
     cut = reached.select(
         F.col(date).alias("_cut"), (F.col("_train") - F.col("_before") - 1).alias("_place")
     )
-    on_cut = rows.where(F.col(date) == cut.select("_cut").scalar()).select(
-        F.col(key).cast("string").alias("_key")
-    )
-    placed = positions(on_cut, [], ["_key"], text_bucket(F.col("_key")))
+    tie = F.lpad(F.hex(F.xxhash64(*rows.columns)), 16, "0")
+    own_key = F.struct(F.col(key).cast("string").alias("k"), tie.alias("h"))
+    on_cut = rows.where(F.col(date) == cut.select("_cut").scalar()).select(own_key.alias("_key"))
+    # order of text with a separator below every character of a key equals that of the pair
+    spread = F.concat(F.coalesce("_key.k", F.lit("")), F.lit("\x00"), F.col("_key.h"))
+    placed = positions(on_cut, [], ["_key"], spread, text=True)
     last = placed.where(F.col("position") == cut.select("_place").scalar()).select("_key")
     cut_date, last_key = cut.select("_cut").scalar(), last.scalar()
-    trains = (F.col(date) < cut_date) | (
-        (F.col(date) == cut_date) & (F.col(key).cast("string") <= last_key)
-    )
+    trains = (F.col(date) < cut_date) | ((F.col(date) == cut_date) & (own_key <= last_key))
     return rows.withColumn("split", F.when(trains, "train").otherwise("test"))
 
 
@@ -136,7 +135,7 @@ def with_folds(
     hashed = rows.withColumn(
         "_hash", F.xxhash64(F.col(key).cast("string"), F.col("snapshot_date").cast("string"), F.lit(seed))
     )
-    placed = positions(hashed, [label], ["_hash"], hash_bucket(F.col("_hash")))
+    placed = positions(hashed, [label], ["_hash"], F.col("_hash"))
     return placed.withColumn("fold", F.pmod("position", F.lit(folds)).cast("int")).drop(
         "_hash", "position", "group_size"
     )
@@ -280,7 +279,7 @@ def level_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every level of every column with its place in alphabetical order."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     levels = texts.unpivot([], list(columns), "feature", "level").where(F.col("level").isNotNull())
-    placed = positions(levels.distinct(), ["feature"], ["level"], text_bucket(F.col("level")))
+    placed = positions(levels.distinct(), ["feature"], ["level"], F.col("level"), text=True)
     return placed.select("feature", "level", F.col("position").alias("code"))
 
 

@@ -138,3 +138,17 @@ def test_store_round_trip(spark, tmp_path):
     stores.write_snapshots(first.where("a = 2").withColumn("a", F.lit(5)), path)
     assert sorted(r.a for r in spark.read.parquet(path).collect()) == [1, 5]
     assert stores.read_store(spark, path, "2024-02-01", "2024-02-28").first().a == 5
+
+
+def test_ordered_split_settles_equal_keys(spark):
+    rows = spark.range(10).select(
+        F.lit("2024-01-01").cast("date").alias("snapshot_date"), F.lit("L1").alias("loan_id"), F.col("id").alias("x")
+    )
+    sizes = {r.split: r["count"] for r in mlprep.with_ordered_split(rows).groupBy("split").count().collect()}
+    assert sizes == {"train": 8, "test": 2}
+
+
+def test_folds_keep_rows_without_a_label(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 0), ("c", None), ("d", 1)], "loan_id string, label int")
+    rows = rows.withColumn("snapshot_date", F.lit("2024-01-01").cast("date"))
+    assert mlprep.with_folds(rows, 2, 1).count() == 4

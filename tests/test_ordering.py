@@ -38,12 +38,12 @@ def test_quantiles_without_keys_and_of_one_value(spark):
     assert o.exact_quantiles(four, [], "v", {"q": 0.25}).first().q == 1.75
 
 
-@pytest.mark.parametrize("bucket", [o.magnitude_bucket, lambda c: F.lit(0), lambda c: F.floor(c)])
-def test_bucket_does_not_change_totals(spark, bucket):
+@pytest.mark.parametrize("by", [lambda c: c, lambda c: F.lit(0), lambda c: F.floor(c)])
+def test_spreading_does_not_change_totals(spark, by):
     rng = np.random.default_rng(1)
     rows = [(float(v), int(w)) for v, w in zip(rng.permutation(200) - 77.5, rng.integers(1, 9, 200))]
     df = spark.createDataFrame(rows, "v double, w int")
-    placed = o.running_totals(df, [], ["v"], bucket(F.col("v")), ["w"]).collect()
+    placed = o.running_totals(df, [], ["v"], by(F.col("v")), ["w"]).collect()
     total, before = sum(w for _, w in rows), 0
     for r in sorted(placed, key=lambda r: r.v):
         assert (r.w_before, r.w_total) == (before, total)
@@ -52,13 +52,34 @@ def test_bucket_does_not_change_totals(spark, bucket):
 
 def test_positions_are_a_permutation(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.xxhash64("id").alias("h"))
-    placed = o.positions(df, ["k"], ["h"], o.hash_bucket(F.col("h"))).collect()
+    placed = o.positions(df, ["k"], ["h"], F.col("h")).collect()
     for key in (0, 1):
         group = sorted((r for r in placed if r.k == key), key=lambda r: r.h)
         assert [r.position for r in group] == list(range(500))
         assert {r.group_size for r in group} == {500}
 
 
+@pytest.mark.parametrize(
+    "value", ["id / 200000000", "1700000000 + id", "id / 20000000.0 * 0.01", "concat('CUS_0x', lpad(hex(id), 6, '0'))"]
+)
+def test_values_close_together_are_spread(spark, value):
+    """No bucket is much larger than the mean, however narrow the range or long the common prefix."""
+    text = value.startswith("concat")
+    df = spark.range(200_000).select(F.lit("g").alias("k"), F.expr(value).alias("v"))
+    marked = df.withColumns({"_all": F.lit(0), "_by": F.col("v")})
+    cuts = o._cuts(marked, ["k"], text).first()["_cuts"]
+    sizes = np.bincount(np.searchsorted(cuts, np.array([r.v for r in df.select("v").collect()])))
+    assert len(sizes) >= 64 and sizes.max() <= 8 * sizes.mean()
+
+
+def test_null_keys_are_a_group_and_null_values_come_first(spark):
+    rows = [(None, 1.0), (None, None), ("a", 2.0), ("a", 1.0), (None, 0.5)]
+    placed = o.positions(spark.createDataFrame(rows, "k string, v double"), ["k"], ["v"], F.col("v")).collect()
+    assert sorted((str(r.k), str(r.v), r.position) for r in placed) == [
+        ("None", "0.5", 1), ("None", "1.0", 2), ("None", "None", 0), ("a", "1.0", 0), ("a", "2.0", 1)
+    ]
+
+
 def _pairs_auc(rows):
     positive = [s for s, y in rows if y == 1]
     negative = [s for s, y in rows if y == 0]
