@@ -7,7 +7,9 @@ column or category; applying it is a list of column expressions.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -21,6 +23,7 @@ from ..functions.ordering import (
     positions,
     present,
 )
+from ..sources.schemas import ATTRIBUTE_FEATURES, FINANCIAL_FEATURES
 from .calendar import TrainingWindow
 
 # fixed values: columns that identify a row or tell the outcome
@@ -143,7 +146,7 @@ def with_folds(
 
 # --- which columns -------------------------------------------------------------------------------
 
-# fixed values: column lists and name parts of the three model families
+# fixed values: column lists of the three model families, and what they leave out
 REGRESSION_GROUPS = {
     "financial": [
         "annual_income",
@@ -159,53 +162,76 @@ REGRESSION_GROUPS = {
     "quality": ["data_completeness_score", "has_financial_data", "has_clickstream_data"],
 }
 REGRESSION_DIGITS = ("1", "2", "3", "5", "7", "10")
-REGRESSION_CLICKSTREAM_LIMIT = 10
-FOREST_PARTS = {
-    "financial": ["income", "salary", "debt", "emi", "credit", "balance", "outstanding", "financial", "payment"],
-    "interaction": ["interaction", "ratio", "relative"],
-    "demographic": ["age", "occupation", "history", "group", "category"],
-    "quality": ["completeness", "quality"],
-}
-CLICKSTREAM_ENDS = ("_mean", "_std", "_min", "_max", "_cv")
-
-
-def regression_columns(columns: Sequence[str]) -> list[str]:
-    """Columns of the logistic regression: fixed lists and ten clickstream statistics."""
-    clickstream = [
-        c
-        for c in columns
-        if c.startswith("fe_")
-        and c.endswith(("_mean", "_std"))
-        and any(digit in c for digit in REGRESSION_DIGITS)
+#: columns of a source that the random forest does without
+FOREST_WITHOUT = {
+    "financial": {"delay_from_due_date", "num_loans", "amount_invested_monthly"},
+    "attribute": {"ssn_is_valid"},
+    "clickstream": {"record_count", "time_span_days"},
+}
+INTERACTIONS = ("age_income_interaction", "relative_credit_history", "age_adjusted_debt_ratio")
+AVAILABILITY = ("has_clickstream_data", "has_attributes_data", "has_financial_data", "data_completeness_score")
+
+_CLICK = re.compile(r"(fe_\d+|clickstream)_(\w+)")
+
+
+@dataclass(frozen=True)
+class Described:
+    """What a feature-store column is: its source, and for clickstream the input and the statistic."""
+
+    name: str
+    source: str
+    input: str = ""
+    statistic: str = ""
+
+
+def described(column: str) -> Described:
+    """A column by the schemas of the sources that feed the store."""
+    if column in IDENTIFIERS:
+        return Described(column, "identifier")
+    click = _CLICK.fullmatch(column)
+    if click:
+        return Described(column, "clickstream", click[1], click[2])
+    sources = {
+        "financial": FINANCIAL_FEATURES,
+        "attribute": ATTRIBUTE_FEATURES,
+        "interaction": INTERACTIONS,
+        "availability": AVAILABILITY,
+    }
+    return Described(column, next((s for s, names in sources.items() if column in names), "other"))
+
+
+def regression_columns(columns: Sequence[str], clickstream_limit: int = 10) -> list[str]:
+    """Columns of the logistic regression: fixed lists and the first clickstream means and deviations."""
+    present = {d.name: d for d in map(described, columns)}
+    clicks = [
+        d.name
+        for d in present.values()
+        if d.statistic in ("mean", "std") and set(REGRESSION_DIGITS) & _digit_runs(d.input)
     ]
-    groups = {g: [c for c in names if c in columns] for g, names in REGRESSION_GROUPS.items()}
-    return (
-        groups["financial"]
-        + groups["demographic"]
-        + groups["categorical"]
-        + clickstream[:REGRESSION_CLICKSTREAM_LIMIT]
-        + groups["quality"]
-    )
+    lists = {**REGRESSION_GROUPS, "clickstream": clicks[:clickstream_limit]}
+    order = ("financial", "demographic", "categorical", "clickstream", "quality")
+    return [name for group in order for name in lists[group] if name in present]
 
 
-def forest_columns(columns: Sequence[str]) -> list[str]:
-    """Columns of the random forest, by parts of their names; each is taken once."""
+def _digit_runs(name: str) -> set[str]:
+    """All stretches of digits inside a name: 12 holds 1, 2 and 12."""
+    digits = name.rpartition("_")[2]
+    return {digits[i:j] for i in range(len(digits)) for j in range(i + 1, len(digits) + 1)}
 
-    def containing(group: str, fold_case: bool = True) -> list[str]:
-        parts = FOREST_PARTS[group]
-        return [c for c in columns if any(p in (c.lower() if fold_case else c) for p in parts)]
 
-    chosen = containing("financial")
-    chosen += [c for c in columns if c.startswith("fe_") and any(e in c for e in CLICKSTREAM_ENDS)]
-    chosen += containing("interaction", fold_case=False) + containing("demographic")
-    chosen += [c for c in columns if c.startswith("has_")] + containing("quality", fold_case=False)
-    usable = [c for c in dict.fromkeys(chosen) if c not in IDENTIFIERS]
-    return usable
+def forest_columns(columns: Sequence[str]) -> list[str]:
+    """Columns of the random forest: what each source offers but for its exceptions."""
+    by_source: dict[str, list[str]] = {}
+    for d in map(described, columns):
+        if (d.statistic or d.name) not in FOREST_WITHOUT.get(d.source, ()):
+            by_source.setdefault(d.source, []).append(d.name)
+    order = ("financial", "clickstream", "interaction", "attribute", "availability")
+    return list(dict.fromkeys(name for source in order for name in by_source.get(source, ())))
 
 
 def boosting_columns(columns: Sequence[str]) -> list[str]:
-    """All columns but identifiers and outcome."""
-    return [c for c in columns if c not in IDENTIFIERS and not c.startswith("Unnamed")]
+    """Every column that describes a customer, known to the schemas or not."""
+    return [d.name for d in map(described, columns) if d.source != "identifier" and not d.name.startswith("Unnamed")]
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
