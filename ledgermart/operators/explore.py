@@ -35,7 +35,7 @@ def up_to(df: DataFrame, cutoff: str, date: str = "snapshot_date") -> DataFrame:
 
 def standard_loan_type(c: Column) -> Column:
     """Trimmed, in title case; blanks, placeholders and missing text become ``Not Specified``."""
-    text = F.trim(F.lower(F.coalesce(c, F.lit("nan"))))
+    text = F.regexp_replace(F.lower(F.coalesce(c, F.lit("nan"))), r"^\s+|\s+$", "")
     return F.when(text.isin(UNSPECIFIED), "Not Specified").otherwise(title_words(text))
 
 

@@ -118,12 +118,13 @@ def _regression_preparation(train: DataFrame, label: str) -> Preparation:
     plain = train.select(label, *[F.expr(e).alias(f"_x{i}") for i, e in enumerate(expressions.values())])
     internal = plain.columns[1:]
     scale = mlprep.fit_scale(plain, internal)
-    best = mlprep.top_features(mlprep.f_statistics(plain, internal, label), MAX_SELECTED)
-    chosen = {r.feature for r in best.collect()}
+    # one rule for any width: the largest F first, columns without one last
+    ranked = mlprep.f_statistics(plain, internal, label).orderBy(F.desc_nulls_last("f_statistic"), "feature")
+    chosen = {r.feature for r in ranked.limit(MAX_SELECTED).collect()}
     scaled = {
         name: mlprep.standardized(expression, *scale[column])
         for column, (name, expression) in zip(internal, expressions.items())
-        if column in chosen or len(internal) <= MAX_SELECTED
+        if column in chosen
     }
     return Preparation(_vector_stages(scaled), list(scaled), numbers, texts)
 
@@ -196,8 +197,11 @@ def parameter_map(model_type: str, estimator, parameters: dict, rows: int) -> di
 
     ``C`` weighs the loss summed over rows, ``regParam`` the penalty against their mean.
     """
-    p = {**DEFAULTS[family(model_type)], **parameters}
     kind = family(model_type)
+    known = {*DEFAULTS[kind], *SEARCH_SPACES[kind], "l1_ratio", "class_weight"}
+    if unknown := sorted(set(parameters) - known):
+        raise ValueError(f"no parameters of {kind}: {unknown}")
+    p = {**DEFAULTS[kind], **parameters}
     if kind == "logistic_regression":
         mixture = {"l1": 1.0, "l2": 0.0}.get(p["penalty"], p.get("l1_ratio", 0.5))
         values = {

@@ -14,6 +14,9 @@ class Lake:
     def bronze(self, source: str) -> str:
         return f"{self.root}/bronze/{source}"
 
+    def rejects(self, source: str) -> str:
+        return f"{self.root}/rejects/{source}"
+
     def silver(self, source: str) -> str:
         return f"{self.root}/silver/{source}"
 

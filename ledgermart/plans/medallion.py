@@ -31,19 +31,28 @@ def _snapshots(raw: DataFrame, start: str, end: str) -> DataFrame:
     return stores.within(dated.where(day == month_start(day)), start, end)
 
 
+def rejected(raw: DataFrame) -> DataFrame:
+    """Rows that no snapshot serves, with the reason: an unreadable date, or one inside a month."""
+    day = iso_day(F.col("snapshot_date"))
+    reason = F.when(day.isNull(), "unreadable date").when(day != month_start(day), "not a first of month")
+    return raw.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 def ingest(spark: SparkSession, lake: Lake, source: str, path: str, start: str, end: str) -> None:
     """Raw file to bronze; feature sources also get their lineage columns."""
-    rows = _snapshots(stores.scan_raw(spark, path), start, end)
+    raw = stores.scan_raw(spark, path)
+    rejected(raw).write.mode("overwrite").parquet(lake.rejects(source))
+    rows = _snapshots(raw, start, end)
     if source != LOANS:
         rows = stores.with_lineage(rows, source)
-    stores.write_snapshots(rows, lake.bronze(source))
+    stores.write_snapshots(rows, lake.bronze(source), span=(start, end))
 
 
 def refine(spark: SparkSession, lake: Lake, source: str, start: str, end: str) -> None:
     """Bronze to silver."""
     bronze = stores.read_store(spark, lake.bronze(source), start, end)
     silver = silver_ledger(bronze) if source == LOANS else silver_features(source, bronze)
-    stores.write_snapshots(silver, lake.silver(source))
+    stores.write_snapshots(silver, lake.silver(source), span=(start, end))
 
 
 def build_labels(
@@ -51,7 +60,7 @@ def build_labels(
 ) -> None:
     """Silver ledger to the label store."""
     silver = stores.read_store(spark, lake.silver(LOANS), start, end)
-    stores.write_snapshots(label_store(silver, dpd, mob), lake.labels)
+    stores.write_snapshots(label_store(silver, dpd, mob), lake.labels, span=(start, end))
 
 
 def build_features(
@@ -69,7 +78,7 @@ def build_features(
     sources = [spark.read.parquet(lake.silver(source)) for source in FEATURE_SOURCES]
     store = feature_store_backfill(*sources, str(first), end, months)
     with joins_by_key_prefix(spark):
-        stores.write_snapshots(store, lake.features, ("feature_snapshot_date",))
+        stores.write_snapshots(store, lake.features, ("feature_snapshot_date",), (str(first), end))
 
 
 def run_medallion(

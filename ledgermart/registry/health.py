@@ -153,8 +153,33 @@ def monitoring(t):
     return _lists(h.monitoring_section(monitoring_results(t)), "insights", "concerns")
 
 
+# fixed values, written out so that the SQL does not lean on the operators' constants
+_SCORES_SQL = """WHEN 'excellent' THEN 1.0::DOUBLE WHEN 'success' THEN 1.0::DOUBLE WHEN 'healthy' THEN 1.0::DOUBLE
+        WHEN 'good' THEN 0.8::DOUBLE WHEN 'partial_success' THEN 0.6::DOUBLE WHEN 'warnings' THEN 0.6::DOUBLE
+        WHEN 'warning' THEN 0.4::DOUBLE WHEN 'failed' THEN 0.2::DOUBLE WHEN 'critical_issues' THEN 0.2::DOUBLE
+        WHEN 'critical' THEN 0.0::DOUBLE WHEN 'no_data' THEN 0.0::DOUBLE WHEN 'analysis_error' THEN 0.0::DOUBLE
+        WHEN 'skipped' THEN 0.7::DOUBLE"""
+_ABSENT_SQL = {
+    "data_validation": ("No data validation results available", "Data validation task did not execute"),
+    "model_training": ("No training results available", "Training task did not execute"),
+    "model_inference": ("No inference results available", "Inference task did not execute"),
+    "model_monitoring": ("No monitoring results available", "Monitoring task did not execute"),
+}
+_ACTIONS_SQL = """CASE WHEN u THEN 'Investigate pipeline failures before next execution' END,
+        CASE WHEN u AND len(list_filter(found, lambda x: contains(lower(x), 'data validation'))) > 0
+          THEN 'Fix data quality issues in feature and label stores' END,
+        CASE WHEN u AND len(list_filter(found, lambda x: contains(lower(x), 'training'))) > 0
+          THEN 'Review training process and address model training failures' END,
+        CASE WHEN u AND len(list_filter(found, lambda x: contains(lower(x), 'inference'))) > 0
+          THEN 'Check model artifacts and inference pipeline integrity' END"""
+_SHORT_TERM_SQL = """['Implement automated alerting for pipeline failures', 'Add more comprehensive monitoring metrics',
+        'Review and optimize resource allocation']"""
+_LONG_TERM_SQL = """['Consider implementing A/B testing for model deployments', 'Explore automated model retraining triggers',
+        'Implement advanced feature engineering techniques', 'Consider model ensemble strategies for improved performance']"""
+
+
 def _absent(name):
-    summary, concern = h.NOT_RUN[name]
+    summary, concern = _ABSENT_SQL[name]
     return f"""SELECT run_date, '{name}' AS section, 'no_data' AS status, '{summary}' AS summary, [] AS insights, ['{concern}'] AS concerns
       FROM runs WHERE run_date NOT IN (SELECT run_date FROM s WHERE section = '{name}')"""
 
@@ -162,8 +187,8 @@ def _absent(name):
 _SECTIONS = f"""{METRICS_SQL}, runs AS (SELECT DISTINCT snapshot_date AS run_date FROM loans),
   s AS ({_VALIDATION} UNION ALL {_TRAINING} UNION ALL {_INFERENCE} UNION ALL {_MONITORING}),
   sections AS (SELECT *, CASE section WHEN 'data_validation' THEN 1 WHEN 'model_training' THEN 2 WHEN 'model_inference' THEN 3 ELSE 4 END AS place,
-      CASE status {" ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in h.STATUS_SCORES.items())} ELSE 0.3::DOUBLE END AS score
-    FROM (SELECT * FROM s UNION ALL {" UNION ALL ".join(_absent(n) for n in h.SECTIONS)})),
+      CASE status {_SCORES_SQL} ELSE 0.3::DOUBLE END AS score
+    FROM (SELECT * FROM s UNION ALL {" UNION ALL ".join(_absent(n) for n in _ABSENT_SQL)})),
   summary AS (SELECT *, CASE WHEN health_score >= 0.8 THEN 'excellent' WHEN health_score >= 0.6 THEN 'good' WHEN health_score >= 0.4 THEN 'concerning'
       ELSE 'critical' END AS pipeline_status, CASE WHEN health_score >= 0.8 THEN 'positive' WHEN health_score >= 0.6 THEN 'neutral'
       WHEN health_score >= 0.4 THEN 'at_risk' ELSE 'negative' END AS business_impact
@@ -171,12 +196,11 @@ _SECTIONS = f"""{METRICS_SQL}, runs AS (SELECT DISTINCT snapshot_date AS run_dat
       flatten(list(CASE WHEN status IN ('excellent', 'success', 'healthy') THEN insights ELSE [] END ORDER BY place))[1:5] AS key_achievements,
       flatten(list(CASE WHEN status IN ('critical', 'failed', 'critical_issues') THEN concerns ELSE [] END ORDER BY place))[1:5] AS priority_issues,
       flatten(list(concerns ORDER BY place)) AS found,
-      {", ".join(f"max(status) FILTER (section = '{n}') AS {n}_status" for n in h.SECTIONS)} FROM sections GROUP BY 1)),
+      {", ".join(f"max(status) FILTER (section = '{n}') AS {n}_status" for n in _ABSENT_SQL)} FROM sections GROUP BY 1)),
   advice AS (SELECT run_date, CASE WHEN len(found) > 5 THEN 'high' WHEN len(found) > 2 THEN 'medium' WHEN u THEN 'high' ELSE 'low' END AS priority_level,
-      list_filter([CASE WHEN u THEN '{h.FIRST_ACTION}' END, {", ".join(
-          f"CASE WHEN u AND len(list_filter(found, lambda x: contains(lower(x), '{w}'))) > 0 THEN '{a}' END" for w, a in h.ACTIONS_BY_CONCERN.items())}],
+      list_filter([{_ACTIONS_SQL}],
         lambda x: x IS NOT NULL) AS immediate_actions,
-      CASE WHEN pipeline_status IN ('good', 'concerning') THEN {h.SHORT_TERM} ELSE [] END AS short_term_improvements, {h.LONG_TERM} AS long_term_optimizations
+      CASE WHEN pipeline_status IN ('good', 'concerning') THEN {_SHORT_TERM_SQL} ELSE [] END AS short_term_improvements, {_LONG_TERM_SQL} AS long_term_optimizations
     FROM (SELECT *, pipeline_status IN ('critical', 'concerning') AS u FROM summary)),
   announced AS (SELECT run_date, CASE WHEN pipeline_status = 'critical' THEN 'failure' WHEN pipeline_status = 'concerning' OR health_score < 0.5 THEN 'critical'
       WHEN pipeline_status = 'good' OR len(priority_issues) > 0 THEN 'warning' ELSE 'success' END AS severity FROM summary)"""
@@ -226,7 +250,7 @@ def recommendations(t):
 
 @registry.add(
     "run_report",
-    out=f"""run_date components:i {" ".join(f"{n}_status" for n in h.SECTIONS)} health_score:f pipeline_status business_impact
+    out=f"""run_date components:i {" ".join(f"{n}_status" for n in _ABSENT_SQL)} health_score:f pipeline_status business_impact
       priority_level severity""",
     views=_ALL,
     sql=f"WITH {_SECTIONS} SELECT * FROM summary JOIN advice USING (run_date) JOIN announced USING (run_date)",

@@ -48,12 +48,40 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
 # --- partitioned stores ----------------------------------------------------------------------
 
 
-def write_snapshots(df: DataFrame, path: str, by: Sequence[str] = ("snapshot_date",)) -> None:
-    """Replace the partitions that occur in ``df`` and leave the others alone.
-
-    The rebalance step groups rows by partition value before the write, so that a date becomes a
-    few files of even size; a date too large for one task is split again.
+def _partition_files(spark: SparkSession, path: str, column: str) -> dict[str, tuple]:
+    """Files of each partition folder of a store, by partition value; also on remote file systems."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return {}
+    folders = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith(f"{column}=")]
+    return {
+        f.getName().partition("=")[2]: tuple(sorted(s.getPath().getName() for s in files.listStatus(f)))
+        for f in folders
+    }
+
+
+def _drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_snapshots(
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = ("snapshot_date",),
+    span: tuple[str, str] | None = None,
+) -> None:
+    """Replace the partitions that occur in ``df``, and all of a run's ``span`` of dates.
+
+    A date of the span (first, last) without rows in ``df`` loses its partition: the store holds
+    what the run would give.  Dates outside stay.  The rebalance step groups rows by partition
+    value before the write, so that a date becomes a few files of even size; a date too large for
+    one task is split again.
     """
+    spark = df.sparkSession
+    before = _partition_files(spark, path, by[0]) if span else {}
     (
         df.hint("rebalance", *[F.col(c) for c in by])
         .write.mode("overwrite")
@@ -61,6 +89,12 @@ def write_snapshots(df: DataFrame, path: str, by: Sequence[str] = ("snapshot_dat
         .partitionBy(*by)
         .parquet(path)
     )
+    if span:
+        # file names hold the id of the job that wrote them: the same names were not replaced
+        after = _partition_files(spark, path, by[0])
+        for value, names in before.items():
+            if span[0] <= value <= span[1] and after.get(value) == names:
+                _drop_partition(spark, path, by[0], value)
 
 
 def read_store(

@@ -110,3 +110,20 @@ def test_monthly_run(spark, lake, raw, trained):
     assert report[0].components == 4
     assert report[0].model_training_status == "skipped"
     assert report[0].model_inference_status == "excellent"
+
+
+def test_a_rerun_without_rows_of_a_date_clears_its_partition(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.createDataFrame([("2024-01-01", 1), ("2024-02-01", 2), ("2024-03-01", 3)], "snapshot_date string, x int")
+    dated = rows.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+    stores.write_snapshots(dated, path, span=("2024-01-01", "2024-03-01"))
+    stores.write_snapshots(dated.where("x = 1"), path, span=("2024-01-01", "2024-02-01"))
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 3]
+    stores.write_snapshots(dated.where("x = 2"), path)
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_rejected_rows_are_kept_apart(spark, tmp_path):
+    raw = spark.createDataFrame([("2024-01-01",), ("2024-01-15",), ("soon",), (None,)], "snapshot_date string")
+    reasons = [r.reject_reason for r in medallion.rejected(raw).orderBy("reject_reason").collect()]
+    assert reasons == ["not a first of month", "unreadable date", "unreadable date"]

@@ -122,6 +122,8 @@ def test_parameters(spark):
     assert mapped["regParam"] == pytest.approx(0.01) and mapped["elasticNetParam"] == 1.0
     with pytest.raises(ValueError):
         training.family("svm")
+    with pytest.raises(ValueError, match="solver_name"):
+        training.parameter_map("lr", estimator, {"solver_name": "x"}, 50)
 
 
 def test_store_format(spark):
