@@ -31,11 +31,12 @@ MALE = r"Mr|Herr|Monsieur|Señor|Sr|г-н"
 FEMALE = r"Mrs|Ms|Miss|Frau|Mme|Madame|Mlle|Señora|Señorita|Sra|Srta|г-жа"
 NEUTRAL = r"Dr|Prof"
 _WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
+_NAME = r"(?=\p{Lu})(?<= )"  # cheap tests before a look behind of many lengths
 _BYTE = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+SECRET_NAME = r"(?:[Pp]assw(?:or)?d|PASSWORD|[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Aa]pi[_-]?[Kk]ey|API_KEY)[ \t]{0,2}[=:][ \t]{0,2}[\"']?"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63})+",
-    "secret": r"(?<=(?:[Pp]assword|PASSWORD|[Pp]asswd|[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Aa]pi[_-]?[Kk]ey|API_KEY)"
-    r"[ \t]{0,2}[=:][ \t]{0,2}[\"']{0,1})[^\s\"']{6,}"
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63})+",
+    "secret": SECRET_NAME + r"[^\s\"']{6,}"
     r"|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?:ghp|gho|sk|pk|xox[abp])[_-][A-Za-z0-9_-]{16,})",
     "ip": rf"(?<![0-9.])(?:{_BYTE}\.){{3}}{_BYTE}(?![0-9]|\.[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -43,10 +44,10 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9.])(?:\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,5}"
     r"|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])",
-    "given_m": rf"(?<=(?<!\p{{L}})(?:{MALE})\.? ){_WORD}(?= \p{{Lu}}\p{{L}})",
-    "given_f": rf"(?<=(?<!\p{{L}})(?:{FEMALE})\.? ){_WORD}(?= \p{{Lu}}\p{{L}})",
-    "given_n": rf"(?<=(?<!\p{{L}})(?:{NEUTRAL})\.? ){_WORD}(?= \p{{Lu}}\p{{L}})",
-    "family": rf"(?<=(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? (?:{_WORD} )?){_WORD}",
+    "given_m": rf"{_NAME}(?<=(?<!\p{{L}})(?:{MALE})\.? ){_WORD}(?= \p{{Lu}}\p{{L}})",
+    "given_f": rf"{_NAME}(?<=(?<!\p{{L}})(?:{FEMALE})\.? ){_WORD}(?= \p{{Lu}}\p{{L}})",
+    "given_n": rf"{_NAME}(?<=(?<!\p{{L}})(?:{NEUTRAL})\.? ){_WORD}(?= \p{{Lu}}\p{{L}})",
+    "family": rf"{_NAME}(?<=(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? (?:{_WORD} )?){_WORD}",
 }
 PATTERN = "|".join(f"({p})" for p in PATTERNS.values())
 TYPES = list(PATTERNS)
@@ -75,6 +76,13 @@ LETTERS = {
 }
 
 
+def has_entities(text: Column) -> Column:
+    """Whether the pattern is found.  Every match needs a digit or one of @=:_-, or a title: asked first."""
+    title = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}"
+    needs = text.rlike("[0-9@=:_-]") | text.rlike(title)
+    return F.coalesce(needs & text.rlike(PATTERN), F.lit(False))
+
+
 def mentions(text: Column) -> Column:
     """Array of (mention, type) in order of the text."""
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
@@ -95,6 +103,7 @@ def canonical(kind: Column, mention: Column) -> Column:
         F.when(kind == "phone", F.regexp_replace(mention, "[^0-9+]", ""))
         .when(kind.isin(*NUMBERS), F.regexp_replace(mention, "[^0-9]", ""))
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
+        .when(kind == "secret", F.regexp_replace(mention, "^" + SECRET_NAME, ""))
         .when(kind.isin("email", "given_m", "given_f", "given_n", "family"), F.lower(mention))
         .otherwise(mention)
     )
@@ -222,7 +231,8 @@ def rendered(kind: Column, mention: Column, value: Column) -> Column:
     return (
         F.when(kind.isin(*NUMBERS, "iban"), filled)
         .when(kind == "email", F.when(shouted, F.upper(value)).otherwise(value))
-        .when(kind.isin("secret", "ip"), value)
+        .when(kind == "secret", F.concat(F.regexp_extract(mention, f"^({SECRET_NAME})?", 1), value))
+        .when(kind == "ip", value)
         .otherwise(name)
     )
 
@@ -267,8 +277,8 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64("text").alias("_hash"),
     )
-    has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    with_some = marked.where(has)
+    has = has_entities(F.col("text"))
+    with_some = staged(marked.where(has), "texts-with-entities")  # the pattern runs over all texts twice, not thrice
     found = with_some.select("_id", "_hash", F.posexplode(mentions(F.col("text"))).alias("i", "e")).select(
         "_id", "_hash", "i", "e.mention", "e.type", canonical(F.col("e.type"), F.col("e.mention")).alias("canonical")
     )
