@@ -8,8 +8,12 @@ case, a card number keeps its first digit and whether its check digit is right,
 or top-level domain, a given name the gender of its title.  A mention is rendered in its own format.
 
 Distinctness is checked over the whole corpus: two entities of a type with one surrogate, or a surrogate
-that is itself an entity, make all but the first draw again, until there is no clash.  What is shuffled is
-entities, pre-aggregated to distinct ones, never texts without entities.
+that is itself an entity, make all but the first draw again, until there is no clash.  Names, credentials and
+addresses get longer with each attempt, so their space cannot run out.  Phone, social security and private IP
+numbers keep their length: where entities fill more than a quarter of the numbers with one head, they are not
+drawn but given free numbers by rank, and where they fill more than half, so that not every one can have a
+number that is no entity, a keyed permutation without fixed points gives each another number of that space.
+What is shuffled is entities, pre-aggregated to distinct ones, never texts without entities.
 
 Defined cases: a null text stays null and has no entities; a text without entities is unchanged; rows that
 repeat get the same surrogates; null ids are kept; an empty table gives no rows; extra columns are kept by
@@ -18,7 +22,7 @@ repeat get the same surrogates; null ids are kept; an empty table gives no rows;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import let, staged, table
@@ -74,6 +78,10 @@ LETTERS = {
     r"\p{Ll}": "abcdefghijklmnopqrstuvwxyz",
     r"\p{L}": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
 }
+SIGNS = "!#$%&*+-.:=?@^_~"
+ADDED = "abcdefghijklmnopqrstuvwxyz0123456789"
+PRIVATE = r"^(10|127)\.|^192\.168\.|^172\.(1[6-9]|2[0-9]|3[01])\.|^169\.254\."
+PHONE_HEAD = r"^(\+?[0-9])"
 
 
 def has_entities(text: Column) -> Column:
@@ -135,6 +143,24 @@ def _like(value: Column, stream: Column) -> Column:
     )
 
 
+def _one_of(letters: str, n: Column) -> Column:
+    return F.substr(F.lit(letters), n % len(letters) + 1, F.lit(1))
+
+
+def _signs(value: Column, stream: Column) -> Column:
+    """As many signs: for a credential without letters and digits, of which :func:`_like` changes nothing."""
+    return let(stream, lambda s: F.array_join(F.transform(F.split(value, ""), lambda c, i: _one_of(SIGNS, _number(s, i))), ""))
+
+
+def _added(value: Column, attempt: Column, stream: Column) -> Column:
+    """A further character for each attempt after the first."""
+    places = F.slice(F.sequence(F.lit(0), attempt), F.lit(2), attempt)
+    return let(
+        stream,
+        lambda s: F.array_join(F.transform(places, lambda k: _one_of(ADDED, _number(s, F.length(value) + k - 1))), ""),
+    )
+
+
 def _luhn(digits: Column) -> Column:
     """Sum of the check-digit rule modulo 10, the last digit not doubled."""
     def weight(c: Column, i: Column) -> Column:
@@ -160,19 +186,20 @@ def _card(value: Column, stream: Column) -> Column:
 
 def _ip(value: Column, stream: Column) -> Column:
     parts = F.split(value, r"\.")
-    private = value.rlike(r"^(10|127)\.|^192\.168\.|^172\.(1[6-9]|2[0-9]|3[01])\.|^169\.254\.")
+    private = value.rlike(PRIVATE)
     first = F.when(private, F.get(parts, F.lit(0))).otherwise((11 + _number(stream, F.lit(0)) % 110).cast("string"))
     second = F.when(private, F.get(parts, F.lit(1))).otherwise((_number(stream, F.lit(1)) % 254 + 1).cast("string"))
     return F.concat_ws(".", first, second, *[(_number(stream, F.lit(k)) % 254 + 1).cast("string") for k in (2, 3)])
 
 
-def _email(value: Column, key: str, stream: Column) -> Column:
+def _email(value: Column, key: str, attempt: Column, stream: Column) -> Column:
     """The domain is drawn from the domain alone, so that addresses of one host stay together."""
     domain = F.substring_index(value, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     hidden = _like(host, _stream(F.concat_ws("|", F.lit(key), F.lit("host"), domain), F.length(host)))
-    return F.concat(_like(F.substring_index(value, "@", 1), stream), F.lit("@"), hidden, F.lit("."), top)
+    local = F.concat(_like(F.substring_index(value, "@", 1), stream), _added(value, attempt, stream))
+    return F.concat(local, F.lit("@"), hidden, F.lit("."), top)
 
 
 def _name(kind: Column, value: Column, attempt: Column, stream: Column) -> Column:
@@ -197,20 +224,96 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> C
         hexed = F.array_join(
             F.transform(F.split(value, ""), lambda c, i: F.when(c.rlike("[0-9a-f]"), F.lower(F.hex(_number(stream, i) % 16))).otherwise(c)), ""
         )
+        more = _added(value, attempt, stream)
         head = F.regexp_extract(value, "^(AKIA|(?:ghp|gho|sk|pk|xox[abp])[_-])?", 1)
         return (
             F.when(kind == "card", _card(value, stream))
             .when(kind == "ip", _ip(value, stream))
-            .when(kind == "email", _email(value, key, stream))
+            .when(kind == "email", _email(value, key, attempt, stream))
             .when(kind == "iban", F.concat(F.left(value, F.lit(2)), F.substr(like, F.lit(3))))
-            .when(kind == "phone", F.concat(F.regexp_extract(value, r"^(\+?[0-9])", 1), F.substr(like, F.length(F.regexp_extract(value, r"^(\+?[0-9])", 1)) + 1)))
-            .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed)
-            .when(kind == "secret", F.concat(head, F.substr(like, F.length(head) + 1)))
+            .when(kind == "phone", F.concat(F.regexp_extract(value, PHONE_HEAD, 1), F.substr(like, F.length(F.regexp_extract(value, PHONE_HEAD, 1)) + 1)))
+            .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), F.concat(hexed, more))
+            .when((kind == "secret") & ~value.rlike(r"[0-9\p{L}]"), F.concat(_signs(value, stream), more))
+            .when(kind == "secret", F.concat(head, F.substr(like, F.length(head) + 1), more))
             .when(kind == "ssn", like)
             .otherwise(_name(kind, value, attempt, stream))
         )
 
-    return let(_stream(seed, F.greatest(F.length(value), F.lit(32))), drawn)
+    return let(_stream(seed, F.greatest(F.length(value) + attempt, F.lit(32))), drawn)
+
+
+def with_spaces(entities: DataFrame) -> DataFrame:
+    """``entities`` with ``head, left, right``: numbers of this head are ``left`` * ``right``; null if not bounded."""
+    kind, value = F.col("type"), F.col("canonical")
+    head = (
+        F.when((kind == "ip") & value.rlike(PRIVATE), F.substring_index(value, ".", 2))
+        .when(kind == "phone", F.regexp_extract(value, PHONE_HEAD, 1))
+        .when(kind == "ssn", F.lit(""))
+    )
+    digits = F.least(F.length(value) - F.length("head"), F.lit(18))
+    power = lambda n: F.when(kind == "ip", 256).otherwise(F.pow(F.lit(10), n)).cast("long")
+    bounded = F.col("head").isNotNull()
+    of = entities.withColumn("head", head).withColumn("_digits", F.when(bounded, digits))
+    of = of.withColumn("left", F.when(bounded, power(F.floor(F.col("_digits") / 2))))
+    return of.withColumn("right", F.when(bounded, power(F.ceil(F.col("_digits") / 2)))).drop("_digits")
+
+
+SPACE = ("type", "head", "left", "right")
+
+
+def _numbered(n: Column) -> Column:
+    """The ``n``-th number of a space."""
+    digits = F.length(F.col("left").cast("string")) + F.length(F.col("right").cast("string")) - 2
+    octets = F.concat_ws(".", "head", F.floor(n / 256).cast("string"), (n % 256).cast("string"))
+    return F.when(F.col("type") == "ip", octets).otherwise(F.concat("head", F.lpad(n.cast("string"), digits, "0")))
+
+
+def _permuted(key: str) -> Column:
+    """Another number of the space for ``canonical``: a keyed permutation, a step on, and the permutation back."""
+    left, right = F.col("left"), F.col("right")
+    rest = F.substr(F.col("canonical"), F.length("head") + 1)
+    parts = F.split(F.col("canonical"), r"\.")
+    octets = F.get(parts, F.lit(2)).cast("long") * 256 + F.get(parts, F.lit(3)).cast("long")
+    at = F.when(F.col("type") == "ip", octets).otherwise(rest.try_cast("long"))
+    halves = lambda n: F.struct(F.floor(n / right).alias("l"), (n % right).alias("r"))
+
+    def turned(state: Column, k: int, sign: int) -> Column:
+        def drawn(x: Column) -> Column:
+            seed = F.concat_ws("|", F.lit(key), "type", "head", F.lit(str(k)), x.cast("string"))
+            return F.conv(F.substr(F.sha2(seed.cast("binary"), 256), F.lit(1), F.lit(15)), 16, 10).cast("long")
+
+        if k % 2:
+            return let(state, lambda s: F.struct(s["l"].alias("l"), F.pmod(s["r"] + sign * (drawn(s["l"]) % right), right).alias("r")))
+        return let(state, lambda s: F.struct(F.pmod(s["l"] + sign * (drawn(s["r"]) % left), left).alias("l"), s["r"].alias("r")))
+
+    state = halves(at)
+    for k in range(4):
+        state = turned(state, k, 1)
+    state = let(state, lambda s: halves((s["l"] * right + s["r"] + 1) % (left * right)))
+    for k in reversed(range(4)):
+        state = turned(state, k, -1)
+    return let(state, lambda s: _numbered(s["l"] * right + s["r"]))
+
+
+def crowded(entities: DataFrame) -> DataFrame:
+    """``type, head, left, right, n``: spaces of numbers of which more than a quarter are entities."""
+    counted = with_spaces(entities).where("head is not null").groupBy(*SPACE).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") / F.col("left") > F.col("right") / 4)
+
+
+def placed(entities: DataFrame, spaces: DataFrame, key: str = KEY) -> DataFrame:
+    """``type, canonical, surrogate`` of the entities of crowded spaces, see the head of this module."""
+    own = with_spaces(entities).join(spaces, [*SPACE])
+    full = 2 * F.col("n") > F.col("left") * F.col("right")
+    order = Window.partitionBy(*SPACE).orderBy(F.sha2(F.concat_ws("|", F.lit(key), "canonical").cast("binary"), 256))
+    every = spaces.where(~full).withColumn("l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("left") - 1)))
+    every = every.withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("right") - 1)))
+    every = every.withColumn("canonical", _numbered(F.col("l") * F.col("right") + F.col("r")))
+    free = every.join(own.select("type", "canonical"), ["type", "canonical"], "left_anti").withColumn("place", F.row_number().over(order))
+    ranked = own.where(~full).withColumn("place", F.row_number().over(order))
+    given = ranked.join(free.select(*SPACE, "place", F.col("canonical").alias("surrogate")), [*SPACE, "place"])
+    moved = own.where(full).withColumn("surrogate", _permuted(key))
+    return given.select("type", "canonical", "surrogate").unionByName(moved.select("type", "canonical", "surrogate"))
 
 
 def rendered(kind: Column, mention: Column, value: Column) -> Column:
@@ -243,7 +346,13 @@ def assigned(entities: DataFrame, key: str = KEY) -> DataFrame:
     Distinctness joins the three kinds of given names, which look alike in a text.
     """
     family = F.when(F.col("type").startswith("given"), "given").otherwise(F.col("type"))
-    own = entities.select("type", "canonical").distinct().withColumn("attempt", F.lit(0))
+    own = staged(entities.select("type", "canonical").distinct(), "entities")
+    spaces = staged(crowded(own), "crowded-spaces")
+    given = None
+    if not spaces.isEmpty():
+        given = staged(placed(own, spaces, key), "placed")
+        own = own.join(given, ["type", "canonical"], "left_anti")  # no draw leaves its space or enters another
+    own = own.withColumn("attempt", F.lit(0))
 
     def drawn(rows: DataFrame) -> DataFrame:
         made = rows.withColumn("surrogate", surrogate(F.col("type"), F.col("canonical"), F.col("attempt"), key))
@@ -261,7 +370,8 @@ def assigned(entities: DataFrame, key: str = KEY) -> DataFrame:
         again = shared.select("type", "canonical").unionByName(real.select("type", "canonical")).distinct()
         again = staged(again.withColumn("more", F.lit(1)), "clashes")
         if again.isEmpty():
-            return rows.select("type", "canonical", "surrogate")
+            known = rows.select("type", "canonical", "surrogate")
+            return known.unionByName(given) if given else known
         rows = drawn(
             rows.join(again, ["type", "canonical"], "left").select(
                 "type", "canonical", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")

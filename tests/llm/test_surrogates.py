@@ -73,3 +73,21 @@ def test_long_text_is_done_whole(spark, documents):
     text = "word " * 30_000 + "last@mail.example.com"
     out = s.with_surrogates(documents([text])).first()["text"]
     assert out.startswith("word " * 30_000) and "last@mail" not in out and out.count("@") == 1
+
+
+def test_signs_and_full_spaces_end(spark, documents):
+    masked = ["password: ********", "token=......", "secret: 🔑🔑🔑🔑🔑🔑", "password: ****12"]
+    rows = s.with_surrogates(documents(masked)).collect()
+    assert [r["n_entities"] for r in rows] == [1] * 4 and not {r["text"] for r in rows} & set(masked)
+    assert all(r["text"].startswith(masked[r["doc_id"]][:6]) for r in rows)
+
+    full = [("ip", f"10.7.{a}.{b}") for a in range(256) for b in range(256)]  # each number is an entity
+    tight = [("ip", f"10.8.{a}.{b}") for a in range(128) for b in range(256)]  # half of them
+    tight += [("phone", f"+1{i:04d}") for i in range(5000)]
+    some = [("ip", "10.9.0.1"), *[("secret", f"****{i:02d}") for i in range(100)], *[("email", f"{c}@a.b") for c in "abcdefghijklmnopqrstuvwxyz-_"]]
+    entities = full + tight + some
+    got = {(r["type"], r["canonical"]): r["surrogate"] for r in s.assigned(spark.createDataFrame(entities, "type string, canonical string")).collect()}
+    assert len(got) == len(entities) and len({(t, v) for (t, _), v in got.items()}) == len(entities)
+    assert all(v != c and v.startswith("10.7.") for (t, c), v in got.items() if c.startswith("10.7."))
+    assert not {(t, got[t, c]) for t, c in tight + some} & set(entities)
+    assert all(got[t, c][:5] == c[:5] for t, c in tight if t == "ip") and all(len(got[t, c]) == 6 and got[t, c][:2] == "+1" for t, c in tight if t == "phone")
