@@ -6,9 +6,10 @@ the orders of ``|x & y| / sqrt(|x| |y|)``.  Landmarks, a few texts per language,
 ``K(x, L) K(L, L)^(-1/2)``; one ridge regression per language against the rest is solved on them.  Scoring is
 a matrix product of a batch of 0/1 vectors with the landmarks and one with the folded weights.
 
-The model is fitted on at most ``PER_LANGUAGE`` labelled documents of each of at most ``MAX_LANGUAGES``
-languages (the most frequent), first by a hash of the id; what reaches the driver are their packed bit
-vectors.  All texts are scored whole: a long text is hashed in pieces into one vector.
+The model learns every language of the training fold, from at most ``PER_LANGUAGE`` labelled documents and
+``LANDMARKS`` landmarks of each, first by a hash of the id.  Above ``MANY`` languages each has fewer of both, in
+proportion, but one at least; what reaches the driver are packed bit vectors, unpacked block by block.
+All texts are scored whole: a long text is hashed in pieces into one vector.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any usable training
 document every text is ``und``; rows that repeat are scored each; null ids are held out never and train
@@ -32,13 +33,14 @@ from .common import table
 ORDERS = (1, 2, 3, 4)
 WIDTHS = (256, 2048, 8192, 8192)
 PER_LANGUAGE = 800
-MAX_LANGUAGES = 50
 LANDMARKS = 32  # per language
+MANY = 50  # languages; of more, each has a smaller share of the rows and landmarks
 RIDGE = 1e-2
 SHARPNESS = 4.0
 UNKNOWN = "und"
 PIECE = 1 << 20
 BATCH = 128
+BLOCK = 2048
 
 _STARTS = np.cumsum((0, *WIDTHS))
 _SYMBOL = np.arange(256, dtype=np.uint32)
@@ -85,22 +87,42 @@ class Model:
         return decided / decided.sum(1, keepdims=True)
 
 
+def share_of(most: int, languages: int) -> int:
+    """How many rows or landmarks one of so many languages has."""
+    return max(1, most * min(languages, MANY) // max(languages, 1))
+
+
+def _unpacked(cells: np.ndarray) -> np.ndarray:
+    return cells if cells.shape[1] == _STARTS[-1] else np.unpackbits(cells, axis=1)[:, : _STARTS[-1]]
+
+
 def fit(cells: np.ndarray, languages: list[str]) -> Model:
-    """One ridge regression per language on Nystroem features; the first rows of each are landmarks."""
+    """One ridge regression per language on Nystroem features; the first rows of each are landmarks.
+
+    ``cells`` are rows of cells, or of packed ones.
+    """
     names = sorted(set(languages))
-    of = np.array([names.index(v) for v in languages])
-    chosen = np.concatenate([np.flatnonzero(of == k)[:LANDMARKS] for k in range(len(names))])
-    landmarks = cells[chosen]
+    number = {name: k for k, name in enumerate(names)}
+    of = np.array([number[v] for v in languages])
+    each = share_of(LANDMARKS, len(names))
+    by_language = np.argsort(of, kind="stable")
+    place = np.arange(len(of)) - np.searchsorted(of[by_language], of[by_language])
+    landmarks = _unpacked(cells[by_language[place < each]])
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
     values = np.maximum(values, 1e-6)
     root = vectors / np.sqrt(values) @ vectors.T
-    features = np.column_stack([kernel(cells, landmarks) @ root, np.ones(len(cells))])
-    wanted = np.where(of[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
+    size = len(landmarks) + 1
+    left, right = np.zeros((size, size)), np.zeros((size, len(names)))
     # each language weighs the same, however many documents it has
-    weight = (1.0 / np.bincount(of))[of][:, None] * len(cells) / len(names)
-    solved = np.linalg.solve(
-        features.T @ (weight * features) + RIDGE * len(cells) * np.eye(features.shape[1]) / 100, features.T @ (weight * wanted)
-    )
+    weight = (1.0 / np.bincount(of))[of] * len(cells) / len(names)
+    for at in range(0, len(cells), BLOCK):
+        mine = of[at : at + BLOCK]
+        features = np.column_stack([kernel(_unpacked(cells[at : at + BLOCK]), landmarks) @ root, np.ones(len(mine))])
+        wanted = np.where(mine[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
+        weighed = (weight[at : at + BLOCK][:, None] * features).T
+        left += weighed @ features
+        right += weighed @ wanted
+    solved = np.linalg.solve(left + RIDGE * len(cells) * np.eye(size) / 100, right)
     return Model(names, landmarks, np.vstack([root @ solved[:-1], solved[-1:]]))
 
 
@@ -109,16 +131,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_cells(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[np.ndarray, list[str]]:
-    """0/1 rows of a bounded sample of labelled documents, by language in hash order."""
+    """Packed 0/1 rows of labelled documents of every language, a bounded sample of each, by language in hash order."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    # about one and a half times the rows wanted pass this test, so a frequent language ranks no more of them
+    usable = usable.where(F.col("text").rlike(r"\p{L}"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()  # one row per language
+    if not counts:
+        return np.zeros((0, _STARTS[-1]), np.uint8), []
+    each = share_of(per_language, len(counts))
+    # about one and a half times the rows wanted, and some, pass this test, so a frequent language ranks no more of them
     drawn = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20))
-    reach = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(-(-(per_language * 3 << 19) // r["count"]))) for r in common], F.lit(0))
+    reach = [(r["lang"], -(-((3 * each // 2 + 32) << 20) // max(r["n"], 1))) for r in counts]
+    reach = docs.sparkSession.createDataFrame(reach, "lang string, reach long")
     first = Window.partitionBy("lang").orderBy(drawn, "doc_id")
-    chosen = usable.select("doc_id", "lang").where(drawn < reach).withColumn("place", F.row_number().over(first))
-    chosen = chosen.where(F.col("place") <= per_language)
-    chosen = chosen.select("doc_id", F.col("lang").alias("taught"), "place").distinct()
+    chosen = usable.select("doc_id", "lang").join(F.broadcast(reach), "lang").where(drawn < F.col("reach")).select("doc_id", "lang").distinct()
+    chosen = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= each)
+    chosen = chosen.select("doc_id", F.col("lang").alias("taught"), "place")
     texts = usable.join(F.broadcast(chosen), "doc_id").where(F.col("lang") == F.col("taught"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,17 +160,15 @@ def training_cells(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[n
                     packed.append(np.packbits(cells).tobytes())
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("taught"), part.column("place"), part.column("doc_id"), pa.array(packed, pa.binary())],
-                ["lang", "place", "doc_id", "cells"],
+                [part.column("taught"), part.column("place"), pa.array(packed, pa.binary())],
+                ["lang", "place", "cells"],
             )
 
-    found = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "taught", F.col("place").cast("long").alias("place"), "text")
-    rows = found.mapInArrow(run, "lang string, place long, doc_id long, cells binary").collect()
-    rows = sorted(rows, key=lambda r: (r["lang"], r["place"], r["doc_id"], bytes(r["cells"])))[: per_language * MAX_LANGUAGES]
-    if not rows:
-        return np.zeros((0, _STARTS[-1]), np.uint8), []
-    cells = np.unpackbits(np.array([np.frombuffer(r["cells"], np.uint8) for r in rows]), axis=1)[:, : _STARTS[-1]]
-    return cells, [r["lang"] for r in rows]
+    found = texts.select("taught", F.col("place").cast("long").alias("place"), "text")
+    rows = found.mapInArrow(run, "lang string, place long, cells binary")
+    rows = rows.groupBy("lang", "place").agg(F.min("cells").alias("cells")).collect()  # a repeated doc_id is one row
+    rows = sorted(rows, key=lambda r: (r["lang"], r["place"]))
+    return np.array([np.frombuffer(r["cells"], np.uint8) for r in rows]), [r["lang"] for r in rows]
 
 
 def predicted(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -76,3 +76,17 @@ def test_unknown_texts_empty_tables_and_names(spark, documents, clashing):
     empty = documents([])
     assert la.predicted(empty, la.fitted_model(empty)).count() == 0
     assert {r["lang_pred"] for r in la.predicted(docs, None).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    names = [f"l{k:02d}" for k in range(60)]
+    rows = [(k * 40 + i, f"{chr(0x4E00 + 50 * k)}{chr(0x4E07 + 50 * k)} {i}", lang) for k, lang in enumerate(names) for i in range(40 - k // 2)]
+    rows += [(5, f"{chr(0x4E00)} again {i}", "l00") for i in range(100)]  # one doc_id, many texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = la.fitted_model(docs)
+    assert model.languages == names
+    texts = spark.createDataFrame([(k, chr(0x4E00 + 50 * k) + chr(0x4E07 + 50 * k)) for k in range(60)], "doc_id long, text string")
+    assert all(r["lang_pred"] == names[r["doc_id"]] for r in la.predicted(texts, model).collect())
+    few = la.fitted_model(docs, per_language=2)
+    assert few.languages == names and len(few.landmarks) == 60
+    assert [la.share_of(800, n) for n in (1, 50, 100, 10**6)] == [800, 800, 400, 1]
