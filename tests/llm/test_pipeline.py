@@ -77,3 +77,20 @@ def test_registered_queries(spark):
     for name, sql in oracle_sql().items():
         same, note = compare(spark, con, DIRECTORY, queries()[name], sql)
         assert same, (name, note)
+
+
+def test_near_copies_of_four_fifths_go(spark, documents):
+    words = [f"w{i}" for i in range(1000)]
+    block, single = list(words), list(words)
+    block[400:490] = [f"x{i}" for i in range(90)]  # 0.83 of five-word shingles
+    single[20:1000:45] = [f"y{i}" for i in range(22)]  # 0.80 of five-word, 0.84 of four-word shingles
+    far = list(words)
+    far[400:520] = [f"z{i}" for i in range(120)]  # 0.78
+    docs = documents([" ".join(w) for w in (words, block, far)] + [" ".join(["v" + w for w in x]) for x in (words, single)])
+    split = [r["text"].split() for r in docs.orderBy("doc_id").collect()]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in split]
+    share = lambda x, y: len(x & y) / len(x | y)
+    assert 0.8 <= share(sets[0], sets[1]) < 0.85 and 0.8 <= share(sets[3], sets[4]) < 0.85 and share(sets[0], sets[2]) < 0.8
+    left = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert {r["doc_id"] for r in left} == {0, 2, 3}
+    assert jaccard.one_of_each(docs).count() == 5
