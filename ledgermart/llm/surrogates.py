@@ -85,9 +85,9 @@ PHONE_HEAD = r"^(\+?[0-9])"
 
 
 def has_entities(text: Column) -> Column:
-    """Whether the pattern is found.  Every match needs a digit or one of @=:_-, or a title: asked first."""
+    """Whether the pattern is found.  Every match needs a digit or one of @=:_-, AKIA, or a title: asked first."""
     title = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}"
-    needs = text.rlike("[0-9@=:_-]") | text.rlike(title)
+    needs = text.rlike("[0-9@=:_-]|AKIA") | text.rlike(title)
     return F.coalesce(needs & text.rlike(PATTERN), F.lit(False))
 
 
