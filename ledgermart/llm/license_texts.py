@@ -1,4 +1,9 @@
-"""Texts of known licences, and notices that stand for a whole file."""
+"""Texts of known licences, and notices that stand for a whole file.
+
+The long texts lie in ``license_data``, one file named by its licence each.
+"""
+
+from importlib.resources import files
 
 _MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -61,3 +66,9 @@ NOTICES = {
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
 }
+
+
+def long_texts() -> dict[str, str]:
+    """Texts by licence of the files in ``license_data``."""
+    found = [f for f in files(__package__).joinpath("license_data").iterdir() if f.name.endswith(".txt")]
+    return {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted(found, key=lambda f: f.name)}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .license_texts import NOTICES, TEXTS
+from .license_texts import NOTICES, TEXTS, long_texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,7 +53,8 @@ def digest(text: Column) -> Column:
 
 def known_texts(spark: SparkSession) -> DataFrame:
     """``license_id, text``: the licences and notices that come with this package."""
-    return spark.createDataFrame([*TEXTS.items(), *NOTICES.items()], "license_id string, text string")
+    known = {**TEXTS, **NOTICES, **long_texts()}
+    return spark.createDataFrame([*known.items()], "license_id string, text string")
 
 
 def digests(licenses: DataFrame) -> DataFrame:

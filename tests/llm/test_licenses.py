@@ -38,3 +38,13 @@ def test_equal_digests_empty_tables_repeats_and_names(spark, documents, clashing
 def test_every_built_in_text_finds_itself(spark, documents):
     got = found(documents(list(TEXTS.values())), li.known_texts(spark))
     assert all(name in got[i] for i, name in enumerate(TEXTS))
+
+
+def test_long_texts_are_known(spark, documents):
+    from ledgermart.llm.license_texts import long_texts
+
+    texts = long_texts()
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= texts.keys()
+    rows = [v for t in texts.values() for v in (t, "/*\n * " + t.upper().replace("\n", "\n * ") + "\n */", t[: len(t) // 2])]
+    got = found(documents(rows), li.known_texts(spark))
+    assert all([got[3 * i], got[3 * i + 1], got[3 * i + 2]] == [[name], [name], None] for i, name in enumerate(texts))
