@@ -19,6 +19,7 @@ OPERATORS = {
     "op8_mixing": "mixing",
     "op9_chat_format": "chat",
     "op10_decontamination": "decontamination",
+    "op11_merkle_manifest": "merkle",
 }
 
 
