@@ -20,6 +20,7 @@ OPERATORS = {
     "op9_chat_format": "chat",
     "op10_decontamination": "decontamination",
     "op11_merkle_manifest": "merkle",
+    "op12_suffix_array_dedup": "suffixes",
     "op13_conversation_trie": "trie",
 }
 
