@@ -16,8 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BUCKETS = 128  # per group; bounds the cut points that a row of the group is compared with
+BUCKETS = 128  # per group
+#: steps of the search for a bucket: a group has less than 1024 cut points
+SEARCH = [1 << k for k in range(9, -1, -1)]
+#: share of a number group's distinct values, chosen by hash, that place its cut points
+SAMPLED = 16
 
 
 def present(value: Column) -> Column:
@@ -33,12 +38,27 @@ def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     return same
 
 
-def _cuts(marked: DataFrame, keys: Sequence[str], text: bool) -> DataFrame:
-    """Per group at most about ``BUCKETS`` ascending values that cut it into even parts."""
+def _never_null(key: str, kind: T.DataType) -> tuple[Column, Column]:
+    """A key as two columns that are never NULL, so that joins and windows share one distribution."""
+    c = F.col(f"`{key}`")
+    if isinstance(kind, (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.BooleanType)):
+        default = {T.StringType: "", T.DateType: "1970-01-01", T.TimestampType: "1970-01-01", T.BooleanType: "false"}
+        return F.coalesce(c, F.lit(default.get(type(kind), "0")).cast(kind)), c.isNull()
+    return F.coalesce(F.to_json(F.struct(c)), F.lit("")), c.isNull()
+
+
+def _cuts(marked: DataFrame, keys: Sequence[str], text: bool, weights: Sequence[str] = ()) -> DataFrame:
+    """Per group at most about ``BUCKETS`` ascending values that cut it into even parts.
+
+    They only spread the work, so a hashed part of the rows is enough to place them: a group that is
+    too small for it is small enough for one bucket.  (The hash reads the weights too: with the same
+    columns this branch reuses the exchange that counted the values.)
+    """
     if not text:
         shares = [i / BUCKETS for i in range(1, BUCKETS)]
-        return marked.groupBy("_all", *keys).agg(
-            F.array_distinct(F.percentile_approx(F.col("_by").cast("double"), shares, 2000)).alias("_cuts")
+        chosen = F.pmod(F.xxhash64(F.col("_by").cast("double"), *weights), F.lit(SAMPLED)) == 0
+        return marked.where(chosen).groupBy("_all", *keys).agg(
+            F.array_distinct(F.percentile_approx(F.col("_by").cast("double"), shares, 1000)).alias("_cuts")
         )
     # text has no approximate quantiles: a hashed sample of known expected size stands for the group
     sizes = marked.groupBy("_all", *keys).agg(F.count("*").alias("_n"))
@@ -60,38 +80,39 @@ def running_totals(
 
     ``by`` must not decrease along ``order``: a number or, with ``text``, a string.
     """
-    marked = df.withColumns({"_all": F.lit(0), "_by": by})
-    cuts = _cuts(marked, keys, text)
+    normal = {}
+    for i, key in enumerate(keys):
+        normal[f"_k{i}"], normal[f"_n{i}"] = _never_null(key, df.schema[key].dataType)
+    ids = list(normal)
+    marked = df.withColumns({"_all": F.lit(0), "_by": by, **normal})
+    cuts = _cuts(marked, ids, text, weights)
     if not keys:
         cuts = F.broadcast(cuts)  # one row
     value = F.col("m._by") if text else F.col("m._by").cast("double")
-    bucket = F.coalesce(F.size(F.filter("c._cuts", lambda cut: cut < value)), F.lit(0))
-    marked = marked.alias("m").join(cuts.alias("c"), _same("m", "c", keys), "left").select(
-        *[F.col(f"m.`{c}`") for c in ("_all", *df.columns)], F.greatest(bucket, F.lit(0)).alias("_bucket")
-    )
-    bucket_sums = marked.groupBy("_all", *keys, "_bucket").agg(*[F.sum(w).alias(w) for w in weights])
-    earlier = W.partitionBy("_all", *keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    everything = W.partitionBy("_all", *keys)
-    starts = bucket_sums.select(
-        "_all",
-        *keys,
+    # how many cut points are below the value: a binary search by falling steps
+    bucket = F.aggregate(
+        F.array(*[F.lit(step) for step in SEARCH]),
+        F.lit(0),
+        lambda at, step: at + F.when(F.get("c._cuts", at + step - 1) < value, step).otherwise(0),
+    )
+    placed = marked.alias("m").join(cuts.alias("c"), _same("m", "c", ids), "left").select(
+        *[F.col(f"m.`{c}`") for c in (*df.columns, *ids)], F.coalesce(bucket, F.lit(0)).alias("_bucket")
+    )
+    earlier = W.partitionBy(*ids).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    everything = W.partitionBy(*ids)
+    starts = placed.groupBy(*ids, "_bucket").agg(*[F.sum(w).alias(w) for w in weights]).select(
+        *ids,
         "_bucket",
         *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_{w}_start") for w in weights],
-        *[F.sum(w).over(everything).alias(f"{w}_total") for w in weights],
-    )
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    same = _same("m", "s", keys) & (F.col("m._bucket") == F.col("s._bucket"))
-    joined = marked.alias("m").join(starts.alias("s"), same).select(
-        *[F.col(f"m.`{c}`") for c in (*df.columns, "_bucket")],
-        *[F.col(f"s.{c}") for w in weights for c in (f"_{w}_start", f"{w}_total")],
+        *[F.sum(w).over(everything).alias(f"_{w}_all") for w in weights],
     )
-    return joined.select(
+    # the window and the join have the same keys: rows move once
+    inside = W.partitionBy(*ids, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    summed = placed.select("*", *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(f"_{w}_inside") for w in weights])
+    return summed.join(starts, [*ids, "_bucket"]).select(
         *df.columns,
-        *[
-            (F.col(f"_{w}_start") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_before")
-            for w in weights
-        ],
-        *[f"{w}_total" for w in weights],
+        *[(F.col(f"_{w}_start") + F.col(f"_{w}_inside")).alias(f"{w}_before") for w in weights],
+        *[F.col(f"_{w}_all").alias(f"{w}_total") for w in weights],
     )
 
 

@@ -122,9 +122,12 @@ def clickstream_backfill(
 ) -> DataFrame:
     """``clickstream_aggregates`` of every customer and monthly snapshot.
 
-    Records are reduced to counts, sums and squared deviations per customer and date.  Those are
-    pooled per snapshot; deviations are taken from the customer's overall mean, which keeps the
-    pooled variance accurate.
+    Records move once, by customer, as they are: a record is a fifth of its partial sums, and the
+    frame of a customer then needs no further exchange.  They are reduced to counts, sums and
+    squared deviations per customer and date, which are spread over and pooled per snapshot where
+    they are; deviations are taken from the customer's overall mean, which keeps the pooled
+    variance accurate.  (The same sums as sliding range frames take twice as long: each of 120
+    frames is added up again for every row, and the rows have to be sorted.)
     """
     features = with_prefix(df.columns, prefix)
     per_date = []
@@ -139,6 +142,7 @@ def clickstream_backfill(
         ]
     daily = (
         lookback_span(df, start, end, months)
+        .repartition("Customer_ID")
         .groupBy("Customer_ID", "snapshot_date")
         .agg(F.count("*").alias("_records"), *per_date)
     )
