@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +33,20 @@ from .common import slices, stage_path, table
 BLOCK = 1 << 18
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: strings of each kind whose ids a task remembers, twice over
-REMEMBERED = 150_000
+#: words, and other pieces, whose ids a task remembers, twice over
+REMEMBERED = 300_000
+PIECES = 30_000
+#: characters of a word from which on it is not remembered
+LONG = 64
+#: bytes of text that are encoded at once, and words whose ids are laid out at once
+PART = 4 << 20
+GATHERED = 1 << 18
 _ENCODERS: dict = {}
+_TABLES: dict = {}
 
 
 class Remembered(dict):
-    """A function's values, of at most ``2 * limit`` keys: of two generations the older is given up."""
+    """A function's values, of at most ``2 * limit`` short keys: of two generations the older is given up."""
 
     def __init__(self, make, limit: int):
         super().__init__()
@@ -48,12 +56,20 @@ class Remembered(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > LONG:
+            return value
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         self[key] = value
         return value
 
+    def many(self, keys: list[str]) -> list[bytes]:
+        values = list(map(self.get, keys))
+        for i in [i for i, value in enumerate(values) if value is None]:
+            values[i] = self[keys[i]]
+        return values
+
 
 def byte_alphabet() -> dict[int, str]:
     """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves."""
@@ -66,9 +82,10 @@ class Encoder:
     """A byte-level BPE tokenizer of the ``tokenizers`` library that remembers the ids of words.
 
     The tokenizer cuts a text into pieces before it merges, and a space that a visible character follows
-    always begins a piece.  So a text's ids are those of its space-separated words, and a word's ids are
-    those of its pieces; the library's model merges each piece that is not remembered.  Texts that hold an
-    added token or separator controls, and tokenizers that cut in another way, are encoded whole.
+    always begins a piece.  So a text's ids are those of its space-separated words.  Arrow splits a batch
+    and numbers its different words, each of these is looked up once, or merged by the library's
+    model, and numpy lays the ids out in the order of the words.  Texts that hold an added token, separator
+    controls or a space before white space, and tokenizers that cut in another way, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -88,35 +105,72 @@ class Encoder:
         self.kind, code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
         # Fixed value: how byte-level BPE cuts a text.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        cut_pieces, model, alphabet = regex.compile(pattern).findall, self.tokenizer.model, byte_alphabet()
+        cut_pieces, tokenize, alphabet = regex.compile(pattern).findall, self.tokenizer.model.tokenize, byte_alphabet()
+        space = alphabet[ord(" ")]
 
         def merged(piece: str) -> bytes:
-            return array(code, [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(alphabet))]).tobytes()
-
-        self.pieces = Remembered(merged, REMEMBERED)
-        self.word = lambda text: b"".join(map(self.pieces.__getitem__, cut_pieces(text)))
-        self.words = Remembered(lambda word: self.word(" " + word), REMEMBERED)
-        added = "|".join(map(re.escape, (t["content"] for t in config["added_tokens"])))
-        self.whole = re.compile(r"[\x1c-\x1f]" + ("|" + added if added else "")).search
-        self.loose = re.compile(r" (?:\s|\Z)").search
-        self.cut = re.compile(r"(?= \S)").split
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of each text, with the end id."""
-        end = np.array([END], self.kind).tobytes()
-        out = []
-        for text in texts:
-            text = text or ""
-            if not self.by_word or self.whole(text):
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes() + end)
-                continue
-            if self.loose(text):
-                head, *rest = self.cut(text)
-                rest = [part[1:] for part in rest]
-            else:
-                head, *rest = text.split(" ")
-            out.append(self.word(head) + b"".join(map(self.words.__getitem__, rest)) + end)
-        return out
+            return array(code, [t.id for t in tokenize(piece.encode().decode("latin-1").translate(alphabet))]).tobytes()
+
+        def after_space(word: str) -> bytes:
+            if word.isalpha():  # one piece
+                return array(code, [t.id for t in tokenize(space + word)]).tobytes() if word.isascii() else merged(" " + word)
+            if word[:-1].isalpha() and word[-1] in ".,;:!?":
+                return self.words[word[:-1]] + self.pieces[word[-1]]
+            return self.word(" " + word)
+
+        def of_piece(piece: str) -> bytes:
+            return self.words[piece[1:]] if piece[0] == " " and piece[1:].isalpha() else self.pieces[piece]
+
+        self.pieces = Remembered(merged, PIECES)
+        self.words = Remembered(after_space, REMEMBERED)
+        self.word = lambda text: b"".join(map(of_piece, cut_pieces(text)))
+        added = "|".join(re.escape(t["content"]) for t in config["added_tokens"])
+        blank = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+        self.odd = rf"[\x1C-\x1F]| (?:[{blank}]|\z)" + ("|" + added if added else "")
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of each text, with the end id; a null text has the end id alone."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        odd = pc.match_substring_regex(texts, self.odd) if self.by_word else pa.array([True] * len(texts))
+        others = odd.to_numpy(zero_copy_only=False)
+        # an odd text is one word of its own; of the others, words after the first follow a space
+        lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        split = lists.flatten().dictionary_encode()
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        codes, n = split.indices.to_numpy(), len(texts)
+        later = np.ones(len(codes), bool)
+        later[bounds[:-1]] = False
+        known = split.dictionary.to_numpy(zero_copy_only=False)
+        followed = np.zeros(len(known), bool)
+        followed[codes[later]] = True
+        table = np.full(len(known), b"", object)
+        table[followed] = self.words.many(known[followed].tolist())
+        parts = table.tolist()
+        heads = codes[~later].tolist()
+        parts += [self.whole(texts[i].as_py()) if others[i] else self.word(known[heads[i]]) for i in range(n)]
+        parts.append(np.array([END], self.kind).tobytes())
+        # the codes with each text's own first word, and the end id behind each text
+        order = np.full(len(codes) + n, len(parts) - 1)
+        number = np.repeat(np.arange(n), np.diff(bounds))
+        order[np.arange(len(codes)) + number] = np.where(later, codes, len(known) + number)
+        width = np.dtype(self.kind).itemsize
+        flat = np.frombuffer(b"".join(parts), self.kind)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+        starts = np.cumsum(sizes) - sizes
+        ends = np.cumsum(sizes[order])
+        ids = np.empty(ends[-1] if n else 0, self.kind)
+        for at in range(0, len(order), GATHERED):
+            some = order[at : at + GATHERED]
+            size, begin = sizes[some], ends[at] - sizes[order[at]]
+            last = ends[at + len(some) - 1]
+            shift = starts[some] - (ends[at : at + len(some)] - size - begin)
+            ids[begin:last] = flat[np.repeat(shift, size) + np.arange(last - begin)]
+        limits = np.zeros(n + 1, np.int32)
+        limits[1:] = ends[bounds[1:] + np.arange(n)] * width
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(limits), pa.py_buffer(ids)])
 
 
 def encoder(path: str) -> Encoder:
@@ -128,16 +182,25 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch with about ``PART`` bytes of text; a longer text is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(sizes) - sizes) // PART
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for at, end in zip(cuts, cuts[1:]):
+        if at < end:
+            yield batch.slice(at, end - at)
+
+
 def token_ids(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids``: packed little-endian ids (2 bytes each for up to 65,536 ids) with the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = made.encode(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part in parts_of(batch):
+                ids = made.encode(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -167,7 +230,7 @@ def write_ids(docs: DataFrame, path: str, target: str) -> None:
     kind, size = (lambda e: (e.kind, e.size))(encoder(path))
     placed = token_ids(docs, path).withColumn("slice", _slice_of(docs, parts).cast("int"))
     order = ["slice", "doc_id", "hash"]
-    placed = placed.withColumn("hash", F.xxhash64("ids")).repartition(parts, "slice").sortWithinPartitions(*order)
+    placed = placed.withColumn("hash", F.xxhash64("ids")).repartitionById(parts, "slice").sortWithinPartitions(*order)
     rows = placed.select("slice", "doc_id", "ids").rdd  # its shuffle files serve both passes below
     step = 4096
 
@@ -221,17 +284,25 @@ def _code_lengths(spark: SparkSession, target: str) -> np.ndarray:
     return out
 
 
+def decoding_table(lengths: np.ndarray):
+    """The table of a code; a worker process keeps that of the last one."""
+    key = lengths.tobytes()
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = huffman.decoding_table(lengths)
+    return _TABLES[key]
+
+
 def read_ids(spark: SparkSession, target: str, digests: bool = False) -> DataFrame:
     """The documents of the files: ``slice, block, at, doc_id, n_tokens`` and ``ids`` or ``ids_crc32``.
 
     ``at`` counts the ids of the block before the document; every block is decoded for itself.
     """
     shared = spark.sparkContext.broadcast(_code_lengths(spark, target))
-    tables: list = []
     last = ("ids_crc32", pa.int64()) if digests else ("ids", pa.list_(pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = tables[0] if tables else huffman.decoding_table(shared.value)
+        made = decoding_table(shared.value)
         for batch in batches:
             for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
                 ids = huffman.decode(row["payload"], row["n_ids"], np.array(row["checkpoints"]), made)

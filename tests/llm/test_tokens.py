@@ -2,6 +2,7 @@ import heapq
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,13 +50,14 @@ def test_blocks_round_trip(n):
 TEXTS = ["", "plain words, isn't it?  two  spaces\n\n\ttabs", "été 東京 🙂 ''s 'll I'VE", "<|endoftext|> inside <|endoftext|>", " " * 50, "a" * 5000, " lead", "trail ", "a \n b\x1c c\x85 d\xa0 e", "\n x  \u2003 y", "don't  we'll 've"]
 
 
-@pytest.mark.parametrize("limit", [150_000, 5])
+@pytest.mark.parametrize("limit", [300_000, 5])
 def test_words_give_the_ids_of_the_library(samples, monkeypatch, limit):
     monkeypatch.setattr(tokens, "REMEMBERED", limit)
+    monkeypatch.setattr(tokens, "PIECES", limit)
     made = tokens.Encoder(tokens.vocabulary())
     library = Tokenizer.from_file(tokens.vocabulary())
     texts = TEXTS + list(samples.values())
-    for text, packed in zip(texts, made.encode(texts), strict=True):
+    for text, packed in zip(texts, made.encode(pa.array(texts)).to_pylist(), strict=True):
         assert np.frombuffer(packed, made.kind).tolist() == library.encode(text, add_special_tokens=False).ids + [0]
 
 
@@ -64,7 +66,28 @@ def test_words_give_the_ids_of_the_library(samples, monkeypatch, limit):
 def test_any_white_space_gives_the_ids_of_the_library(text):
     made = tokens.encoder(tokens.vocabulary())
     want = made.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(made.encode([text])[0], made.kind).tolist() == [*want, 0]
+    assert np.frombuffer(made.encode(pa.array([text]))[0].as_py(), made.kind).tolist() == [*want, 0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.none() | st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from("  '.a1\n"), max_size=30), max_size=5), st.sampled_from([3, 1 << 18]))
+def test_any_characters_give_the_ids_of_the_library(texts, gathered):
+    made = tokens.encoder(tokens.vocabulary())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "GATHERED", gathered)
+        got = made.encode(pa.array(texts, pa.string())).to_pylist()
+    want = [[*made.tokenizer.encode(text or "", add_special_tokens=False).ids, 0] for text in texts]
+    assert [np.frombuffer(packed, made.kind).tolist() for packed in got] == want
+
+
+@pytest.mark.parametrize("part", [1, 10, 1 << 20])
+def test_parts_hold_every_row_once(monkeypatch, part):
+    monkeypatch.setattr(tokens, "PART", part)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": pa.array(["", "abc", None, "x" * 25, "", "y", None], pa.string())})
+    parts = list(tokens.parts_of(batch))
+    assert pa.Table.from_batches(parts).combine_chunks().equals(pa.Table.from_batches([batch]))
+    assert len(parts) == 1 or part < 30
+    assert list(tokens.parts_of(batch.slice(0, 0))) == []
 
 
 @pytest.mark.parametrize("block", [1 << 18, 50])
