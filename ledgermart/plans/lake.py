@@ -17,6 +17,15 @@ class Lake:
     def rejects(self, source: str) -> str:
         return f"{self.root}/rejects/{source}"
 
+    def landed(self, source: str) -> str:
+        return f"{self.root}/landed/{source}"
+
+    def landed_rejects(self, source: str) -> str:
+        return f"{self.root}/landed_rejects/{source}"
+
+    def landing_progress(self, source: str, part: str) -> str:
+        return f"{self.root}/landing_progress/{source}/{part}"
+
     def silver(self, source: str) -> str:
         return f"{self.root}/silver/{source}"
 

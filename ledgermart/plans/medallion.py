@@ -6,7 +6,7 @@ computed once and a re-run replaces exactly the snapshots it covers.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +24,8 @@ LOANS = "loans"
 FEATURE_SOURCES = ("clickstream", "attributes", "financials")
 
 
-def _snapshots(raw: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows of the first-of-month snapshots in the span."""
+def _snapshots(raw: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows of the first-of-month snapshots, of those in the span if one is given."""
     dated = raw.withColumn("snapshot_date", iso_day(F.col("snapshot_date")))
     day = F.col("snapshot_date")
     return stores.within(dated.where(day == month_start(day)), start, end)
@@ -48,9 +48,34 @@ def ingest(spark: SparkSession, lake: Lake, source: str, path: str, start: str,
     stores.write_snapshots(rows, lake.bronze(source), span=(start, end))
 
 
-def refine(spark: SparkSession, lake: Lake, source: str, start: str, end: str) -> None:
-    """Bronze to silver."""
-    bronze = stores.read_store(spark, lake.bronze(source), start, end)
+def land(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    folder: str,
+    columns: Sequence[str] | None = None,
+    files_per_batch: int = 1000,
+) -> None:
+    """Raw files of ``folder`` that were not taken in yet to the landed store, each exactly once.
+
+    Rows of all dates are taken in; rows that no snapshot serves go to ``landed_rejects`` with the reason and
+    their file, and those of earlier calls stay.  Rows of a date that come in several files add up.
+    Both stores have their own progress: a call that ended between them is finished by the next one.
+    """
+    raw = stores.scan_new_files(spark, folder, columns, files_per_batch)
+    rows = _snapshots(raw)
+    if source != LOANS:
+        rows = stores.with_lineage(rows, source)
+    stores.append_new(rows, lake.landed(source), lake.landing_progress(source, "rows"), ("snapshot_date",))
+    left = rejected(raw.withColumn("source_file", F.col("_metadata.file_path")))
+    stores.append_new(left, lake.landed_rejects(source), lake.landing_progress(source, "rejects"))
+
+
+def refine(
+    spark: SparkSession, lake: Lake, source: str, start: str, end: str, landed: bool = False
+) -> None:
+    """Bronze, or what landed, to silver."""
+    bronze = stores.read_store(spark, lake.landed(source) if landed else lake.bronze(source), start, end)
     silver = silver_ledger(bronze) if source == LOANS else silver_features(source, bronze)
     stores.write_snapshots(silver, lake.silver(source), span=(start, end))
 
@@ -91,20 +116,30 @@ def run_medallion(
     mob: int = 6,
     months: int = 6,
     history_start: str | None = None,
+    landed: bool = False,
 ) -> DataFrame:
-    """All layers of all sources; returns rows per source, layer and snapshot."""
+    """All layers of all sources; returns rows per source, layer and snapshot.
+
+    With ``landed`` the paths in ``raw`` are folders of files, of which only new ones are read.  Give the span
+    of the dates that the new files hold: other dates keep their silver rows.
+    """
     for source in (LOANS, *FEATURE_SOURCES):
-        ingest(spark, lake, source, raw[source], start, end)
-        refine(spark, lake, source, start, end)
+        if landed:
+            land(spark, lake, source, raw[source])
+        else:
+            ingest(spark, lake, source, raw[source], start, end)
+        refine(spark, lake, source, start, end, landed)
     build_labels(spark, lake, start, end, dpd, mob)
     build_features(spark, lake, start, end, months, history_start)
-    return medallion_report(spark, lake, start, end)
+    return medallion_report(spark, lake, start, end, landed)
 
 
-def medallion_report(spark: SparkSession, lake: Lake, start: str, end: str) -> DataFrame:
+def medallion_report(
+    spark: SparkSession, lake: Lake, start: str, end: str, landed: bool = False
+) -> DataFrame:
     """Rows written per layer and snapshot, read from the stores."""
     calendar = month_calendar(spark, start, end).drop("months_since_start")
-    found = {f"bronze_{s}": lake.bronze(s) for s in (LOANS, *FEATURE_SOURCES)}
+    found = {f"bronze_{s}": lake.landed(s) if landed else lake.bronze(s) for s in (LOANS, *FEATURE_SOURCES)}
     found |= {f"silver_{s}": lake.silver(s) for s in (LOANS, *FEATURE_SOURCES)}
     found["label_store"] = lake.labels
     parts = [

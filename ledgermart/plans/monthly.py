@@ -48,10 +48,11 @@ def run_month(
     every_months: int = 3,
     forced: bool = False,
     monitoring: bool = True,
+    landed: bool = False,
     **training_options,
 ) -> DataFrame:
-    """Run one month and store its report row."""
-    medallion.run_medallion(spark, lake, raw, date, date, history_start=history_start)
+    """Run one month and store its report row; with ``landed`` only new files of the raw folders are read."""
+    medallion.run_medallion(spark, lake, raw, date, date, history_start=history_start, landed=landed)
     plan = planned_run(spark, lake, date, first_training, every_months, forced, monitoring)
     trains = plan.execution_path == "training_start"
     works = plan.execution_path != "skip_to_reporting"

@@ -29,6 +29,31 @@ def scan_raw(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     return spark.read.csv(path, header=True, schema=all_text(list(columns)), enforceSchema=False)
 
 
+def scan_new_files(
+    spark: SparkSession, folder: str, columns: Sequence[str] | None = None, files_per_batch: int = 1000
+) -> DataFrame:
+    """A stream of the CSV files of a folder, every column as text.
+
+    Without ``columns`` the names come from the header of one file.  A file with another header is an
+    error, not shifted columns: correct it in place and run again.  Files must be moved into the folder whole.
+    """
+    if columns is None:
+        columns = spark.read.csv(folder, header=True, inferSchema=False).columns
+    options = {"header": True, "enforceSchema": False, "maxFilesPerTrigger": files_per_batch}
+    return spark.readStream.options(**options).schema(all_text(list(columns))).csv(folder)
+
+
+def append_new(stream: DataFrame, path: str, progress: str, by: Sequence[str] = ()) -> None:
+    """Append what the stream's files have that no earlier call with this ``progress`` folder took, then end.
+
+    ``progress`` remembers the files, the store's own log the finished batches: a batch that was cut
+    off is written again and counts once.  A file is known by its path, so corrected data comes as
+    a new file.
+    """
+    sink = stream.writeStream.format("parquet").option("checkpointLocation", progress)
+    sink.partitionBy(*by).trigger(availableNow=True).start(path).awaitTermination()
+
+
 def snapshot_slice(df: DataFrame, day: str) -> DataFrame:
     """Rows of one snapshot."""
     return df.where(F.col("snapshot_date") == F.lit(day).cast("date"))
