@@ -7,6 +7,9 @@ from ..operators import ledger, silver
 from ..operators.features import clickstream_aggregates, empty_features, lookback_slice
 from ..operators.profile import score_summary
 from ..operators.registry import with_version_parts
+from ..plans import medallion
+from ..plans.lake import Lake
+from ..session import stage_folder
 from ..sources import stores
 from ..sources.sample_tables import MODEL_VERSIONS
 from .check import Registry
@@ -48,6 +51,29 @@ def lineage(t):
     )
 
 
+_HALF = "1998-01-01"
+
+
+@registry.add(
+    "rows_landed_in_three_runs",
+    out="snapshot_date records:i loans:i",
+    views="loans",
+    sql="""SELECT snapshot_date, count(*) AS records, count(DISTINCT loan_id) AS loans FROM loans
+      WHERE snapshot_date = date_trunc('month', snapshot_date) GROUP BY snapshot_date""",
+)
+def landed(t):
+    lake = Lake(stage_folder(t.loans.sparkSession, "landing"))
+    folder = f"{lake.root}/raw"
+    late = F.coalesce(F.col("snapshot_date") >= F.lit(_HALF).cast("date"), F.lit(False))
+    for rows in (t.loans.where(~late), t.loans.where(late), None):
+        if rows is not None:
+            rows.write.mode("append").csv(folder, header=True)
+        medallion.land(t.loans.sparkSession, lake, medallion.LOANS, folder, t.loans.columns)
+    return t.loans.sparkSession.read.parquet(lake.landed(medallion.LOANS)).groupBy("snapshot_date").agg(
+        F.count("*").alias("records"), F.count_distinct("loan_id").alias("loans")
+    )
+
+
 @registry.add(
     "month_calendar",
     out="snapshot_date months_since_start:i",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -58,6 +59,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stage_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 @contextmanager
 def joins_by_key_prefix(spark: SparkSession) -> Iterator[None]:
     """Let joins on (customer, snapshot) run where rows are already distributed by customer.
