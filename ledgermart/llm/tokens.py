@@ -235,9 +235,14 @@ def write_ids(docs: DataFrame, path: str, target: str) -> None:
     step = 4096
 
     def count(batch):
-        total = np.zeros(size, np.int64)
+        total, held, length = np.zeros(size, np.int64), [], 0
         for row in batch:
-            total += np.bincount(np.frombuffer(row["ids"], kind), minlength=size)
+            held.append(row["ids"])
+            length += len(held[-1])
+            if length >= PART:  # one array of counts for many documents
+                total += np.bincount(np.frombuffer(b"".join(held), kind), minlength=size)
+                held, length = [], 0
+        total += np.bincount(np.frombuffer(b"".join(held), kind), minlength=size)
         return ((at, total[at : at + step]) for at in range(0, size, step))
 
     counts = np.zeros(size, np.int64)
