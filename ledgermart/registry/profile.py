@@ -84,6 +84,21 @@ def duplicates(t):
     return profile.duplicate_rows(lines)
 
 
+_PROFILE = ["Age", "Occupation", "Type_of_Loan", "Credit_Mix", "Num_of_Loan", "Annual_Income"]
+
+
+@registry.add(
+    "duplicate_profiles",
+    out="duplicate_rows:i",
+    views="attributes financials",
+    sql=f"""WITH profiles AS (SELECT {", ".join(_PROFILE)} FROM attributes JOIN financials USING (Customer_ID, snapshot_date))
+      SELECT (SELECT count(*) FROM profiles) - (SELECT count(*) FROM (SELECT DISTINCT * FROM profiles)) AS duplicate_rows""",
+)
+def duplicate_profiles(t):
+    both = t.attributes.join(t.financials, ["Customer_ID", "snapshot_date"])
+    return profile.duplicate_rows(both.select(*_PROFILE))
+
+
 _SUMMARY = """SELECT '{c}' AS feature, count({c}) AS count, avg({c}::DOUBLE) AS mean, stddev_samp({c}::DOUBLE) AS std,
   min({c}) AS min, max({c}) AS max, quantile_cont({c}::DOUBLE, 0.25) AS q25, quantile_cont({c}::DOUBLE, 0.5) AS q50,
   quantile_cont({c}::DOUBLE, 0.75) AS q75 FROM """

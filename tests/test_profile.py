@@ -18,6 +18,18 @@ def test_missing_and_duplicates(frame):
     assert profile.duplicate_rows(frame.limit(0)).first()[0] == 0
 
 
+@pytest.mark.parametrize("values", [None, 1, 3])
+def test_wide_duplicates_are_exact_when_fingerprints_clash(spark, monkeypatch, values):
+    rows = [(i % 3, None if i % 2 else "t", float(i % 4), "a.b", i % 5) for i in range(90)]
+    rows += [(None, None, None, None, None)] * 3 + [(7, "x", float("nan"), "", 0)] * 2 + [(8, "x", -0.0, "", 0), (8, "x", 0.0, "", 0)]
+    df = spark.createDataFrame(rows, "n int, `_copies` string, x double, `a.b` string, row int")
+    if values:  # so many different fingerprints only
+        few = [profile.F.lit(0), profile.F.pmod(profile.F.coalesce("row", profile.F.lit(0)), profile.F.lit(values))]
+        monkeypatch.setattr(profile, "_fingerprint", lambda columns: few)
+    assert profile.duplicate_rows(df).first()[0] == (90 - 60) + 2 + 1 + 1
+    assert profile.duplicate_rows(df.limit(0)).first()[0] == 0
+
+
 def test_summaries_leave_out_columns_without_values(frame):
     assert [r.feature for r in profile.numeric_summary(frame, ["x", "empty"]).collect()] == ["x"]
     (text,) = profile.text_summary(frame, ["t"]).collect()
