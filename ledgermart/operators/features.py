@@ -3,11 +3,14 @@
 ``feature_store`` builds one snapshot, ``feature_store_backfill`` any number of them in one job.
 The backfill first reduces every source to at most one row per customer and date, moves these rows
 by customer, and only then spreads them over the snapshots they serve: the many rows per customer
-and snapshot are made, aggregated and joined where they are and never cross the network.
+and snapshot are made, aggregated and joined where they are and never cross the network.  They are
+many times the rows that were moved, so their number, not the size of the shuffle, sets the number
+of tasks, and the joins build their tables per task: none is broadcast.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +44,9 @@ OCCUPATION_GROUPS = {
 AGE_EDGES = [18, 30, 40, 50, 60, float("inf")]
 AGE_LABELS = ["18-29", "30-39", "40-49", "50-59", "60+"]
 
+#: rows of (customer, snapshot) that one task of a backfill holds at most, about
+ROWS_PER_TASK = 250_000
+
 
 # --- records that a snapshot may see --------------------------------------------------------
 
@@ -77,6 +83,18 @@ def _lookback_snapshots(day: Column, start: str, end: str, months: int) -> Colum
     return _snapshots(day, month_start(F.add_months(day, months)), start, end)
 
 
+def backfill_partitions(start: str, end: str, *sources: DataFrame) -> int:
+    """Number of tasks for the rows of all customers of the sources at the snapshots from ``start`` to ``end``."""
+    ids = [source.select("Customer_ID") for source in sources]
+    every = ids[0]
+    for more in ids[1:]:
+        every = every.union(more)
+    snapshots = F.ceil(F.months_between(F.lit(end).cast("date"), F.lit(start).cast("date"))) + 1
+    rows = F.approx_count_distinct("Customer_ID") * F.greatest(snapshots, F.lit(1))
+    # rows in a single partition do not count as distributed by customer: they would be moved again
+    return max(2, math.ceil(every.agg(rows).first()[0] / ROWS_PER_TASK))
+
+
 # --- behaviour -------------------------------------------------------------------------------
 
 
@@ -118,16 +136,27 @@ def lookback_span(df: DataFrame, start: str, end: str, months: int) -> DataFrame
 
 
 def clickstream_backfill(
-    df: DataFrame, start: str, end: str, months: int = 6, prefix: str = "fe_"
+    df: DataFrame,
+    start: str,
+    end: str,
+    months: int = 6,
+    prefix: str = "fe_",
+    partitions: int | None = None,
+    universe: DataFrame | None = None,
 ) -> DataFrame:
     """``clickstream_aggregates`` of every customer and monthly snapshot.
 
     Records move once, by customer, as they are: a record is a fifth of its partial sums, and the
-    frame of a customer then needs no further exchange.  They are reduced to counts, sums and
+    frame of a customer then needs no further exchange.  ``partitions`` (counted unless given) keeps
+    the sums that a task holds from growing with the input.  Records are reduced to counts, sums and
     squared deviations per customer and date, which are spread over and pooled per snapshot where
     they are; deviations are taken from the customer's overall mean, which keeps the pooled
     variance accurate.  (The same sums as sliding range frames take twice as long: each of 120
     frames is added up again for every row, and the rows have to be sorted.)
+
+    With a ``universe`` (customers and snapshots, distributed by customer over as many partitions)
+    the result has exactly its rows, all NULL where nothing was recorded: its rows are pooled as records that
+    count for nothing, which takes no join.
     """
     features = with_prefix(df.columns, prefix)
     per_date = []
@@ -140,9 +169,9 @@ def clickstream_backfill(
             F.min(name).alias(f"{name}_low"),
             F.max(name).alias(f"{name}_high"),
         ]
+    recent = lookback_span(df, start, end, months)
     daily = (
-        lookback_span(df, start, end, months)
-        .repartition("Customer_ID")
+        recent.repartition(partitions or backfill_partitions(start, end, recent), "Customer_ID")
         .groupBy("Customer_ID", "snapshot_date")
         .agg(F.count("*").alias("_records"), *per_date)
     )
@@ -156,6 +185,9 @@ def clickstream_backfill(
     )
     served = _lookback_snapshots(F.col("snapshot_date"), start, end, months)
     spread = centred.withColumn("snapshot", F.explode(served))
+    if universe is not None:
+        # a missing customer is no key: as in a join, its records belong to no row
+        spread = spread.where(F.col("Customer_ID").isNotNull()).unionByName(universe, allowMissingColumns=True)
     pooled = []
     for name in features:
         n, off = F.col(f"{name}_n"), F.col(f"{name}_off")
@@ -185,6 +217,9 @@ def clickstream_backfill(
         )
     measured = grouped.withColumns(moments)
     measured = measured.withColumns({f"{name}_cv": variation(name) for name in features})
+    if universe is not None:
+        recorded = F.col("clickstream_record_count").isNotNull()
+        measured = measured.withColumns({f"{name}_cv": F.when(recorded, F.col(f"{name}_cv")) for name in features})
     return measured.select(
         "Customer_ID",
         "snapshot",
@@ -206,19 +241,18 @@ def latest_record(
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def latest_backfill(df: DataFrame, start: str, end: str) -> DataFrame:
+def latest_backfill(df: DataFrame, start: str, end: str, partitions: int | None = None) -> DataFrame:
     """The record that is the newest one at each monthly snapshot, per customer.
 
     Only one record per customer and date can ever be the newest; each serves the snapshots from
-    its date to the day before the customer's next record.
+    its date to the day before the customer's next record, given as ``_from`` and ``_until``.
     """
     known = df.where(F.col("snapshot_date") <= F.lit(end).cast("date"))
-    per_date = latest_record(known, ("Customer_ID", "snapshot_date"))
+    spread = known.repartition(partitions or backfill_partitions(start, end, known), "Customer_ID")
+    per_date = latest_record(spread, ("Customer_ID", "snapshot_date"))
     following = F.lead("snapshot_date").over(W.partitionBy("Customer_ID").orderBy("snapshot_date"))
     until = F.coalesce(F.date_sub(following, 1), F.lit(end).cast("date"))
-    valid = per_date.withColumn("_until", until)
-    served = _snapshots(F.col("snapshot_date"), F.col("_until"), start, end)
-    return valid.withColumn("snapshot", F.explode(served)).drop("_until")
+    return per_date.withColumn("_from", F.col("snapshot_date")).withColumn("_until", until)
 
 
 # --- demographic and financial features -------------------------------------------------------
@@ -314,6 +348,7 @@ def universe_backfill(
     start: str,
     end: str,
     months: int = 6,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every customer of every snapshot: active in its lookback, or known from any time before it.
 
@@ -329,9 +364,9 @@ def universe_backfill(
         df.where(day <= last).select("Customer_ID", nothing.alias("_active"), day.alias("_known"))
         for df in (attributes, financials)
     ]
+    dated = active.union(known[0]).union(known[1])
     customers = (
-        active.union(known[0])
-        .union(known[1])
+        (dated.repartition(partitions, "Customer_ID") if partitions else dated)
         .groupBy("Customer_ID")
         .agg(F.min("_known").alias("_known"), F.collect_set("_active").alias("_active"))
     )
@@ -342,6 +377,18 @@ def universe_backfill(
     return customers.select("Customer_ID", F.explode(F.array_union(always, lately)).alias("snapshot"))
 
 
+def join_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows per customer and snapshot with the one record, if any, whose span holds the snapshot.
+
+    Only the customer is a join key, so rows that are distributed by customer stay where they are.
+    The hint keeps Spark from a broadcast: it takes ``spans`` to be as small as what they were made of.
+    """
+    theirs = spans.withColumnRenamed("Customer_ID", "_customer").hint("shuffle_hash")
+    within = (F.col("_from") <= F.col("snapshot")) & (F.col("snapshot") <= F.col("_until"))
+    same = F.col("Customer_ID") == F.col("_customer")
+    return rows.join(theirs, same & within, "left").drop("_customer", "_from", "_until")
+
+
 def combine_customer_centric(
     customers: DataFrame, financial: DataFrame, attributes: DataFrame, clickstream: DataFrame, day: str
 ) -> DataFrame:
@@ -415,16 +462,18 @@ def feature_store_backfill(
 ) -> DataFrame:
     """Feature store of every monthly snapshot from ``start`` to ``end`` in one job.
 
-    All four sides of the joins come out distributed by customer.  Plan it inside
-    ``session.joins_by_key_prefix`` and the joins need no further shuffle.
+    Universe, statistics and latest records come out distributed by customer, over as many tasks as
+    their rows need, so that putting them together takes no further shuffle.
     """
-    keys = ["Customer_ID", "snapshot"]
-    combined = (
-        universe_backfill(clickstream, attributes, financials, start, end, months)
-        .join(financial_features(latest_backfill(financials, start, end), "snapshot"), keys, "left")
-        .join(attribute_features(latest_backfill(attributes, start, end), "snapshot"), keys, "left")
-        .join(clickstream_backfill(clickstream, start, end, months), keys, "left")
-    )
+    recent = lookback_span(clickstream, start, end, months)
+    tasks = backfill_partitions(start, end, recent, attributes, financials)
+    finances = financial_features(latest_backfill(financials, start, end, tasks), "_from", "_until")
+    people = attribute_features(latest_backfill(attributes, start, end, tasks), "_from", "_until")
+    universe = universe_backfill(clickstream, attributes, financials, start, end, months, tasks)
+    behaviour = clickstream_backfill(clickstream, start, end, months, partitions=tasks, universe=universe)
+    combined = join_spans(join_spans(behaviour, finances), people)
+    clicks = exclude(behaviour.columns, "Customer_ID", "snapshot")
+    combined = combined.select("Customer_ID", "snapshot", *exclude(combined.columns, "Customer_ID", "snapshot", *clicks), *clicks)
     return with_availability(with_interactions(combined)).withColumnRenamed(
         "snapshot", "feature_snapshot_date"
     )

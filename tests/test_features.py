@@ -109,6 +109,42 @@ def test_backfill_equals_each_snapshot(spark, clicks, people, money):
         assert got == wanted
 
 
+def test_backfill_moves_and_broadcasts_no_spread_rows(spark, clicks, people, money):
+    store = f.feature_store_backfill(clicks, people, money, "2024-01-01", "2024-10-01")
+    for frame in (store, store.groupBy().count()):
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("Generate explode", 1)[0]
+        assert "Broadcast" not in plan
+        moved = [line for line in plan.splitlines() if "Exchange" in line and "SinglePartition" not in line]
+        assert all("REPARTITION_BY_NUM" in line for line in moved)
+
+
+def test_tasks_of_a_backfill_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(f, "ROWS_PER_TASK", 100)
+    days = [(str(i), D(2024, 1 + i % 12, 1), float(i)) for i in range(200)]
+    df = spark.createDataFrame(days, "Customer_ID string, snapshot_date date, fe_1 double")
+    tasks = f.backfill_partitions("2024-01-01", "2024-12-01", df)
+    assert 20 <= tasks <= 28
+    every = f.clickstream_backfill(df, "2024-01-01", "2024-12-01")
+    assert every.rdd.getNumPartitions() > 15
+
+
+def test_universe_of_the_statistics(spark):
+    clicks = spark.createDataFrame(
+        [("a", D(2024, 1, 1), 2.0), ("b", D(2024, 1, 1), None), (None, D(2024, 1, 1), 5.0)],
+        "Customer_ID string, snapshot_date date, fe_1 double",
+    )
+    wanted = spark.createDataFrame(
+        [(c, D(2024, m, 1)) for c in ("a", "b", "c", None) for m in (1, 2, 3, 4)], "Customer_ID string, snapshot date"
+    ).repartition(2, "Customer_ID")
+    got = f.clickstream_backfill(clicks, "2024-01-01", "2024-04-01", 2, partitions=2, universe=wanted).collect()
+    assert len(got) == 16
+    for r in got:
+        seen = r.Customer_ID in ("a", "b") and r.snapshot < D(2024, 4, 1)
+        assert r.clickstream_record_count == (1 if seen else None)
+        assert r.fe_1_mean == (2.0 if seen and r.Customer_ID == "a" else None)
+        assert (r.fe_1_cv is None) == (not seen or r.Customer_ID == "a")
+
+
 def test_tie_on_a_date_is_stable(spark):
     rows = [("a", D(2024, 1, 1), v) for v in ("x", "y", "z")]
     schema = "Customer_ID string, snapshot_date date, v string"
