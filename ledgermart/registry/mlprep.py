@@ -30,7 +30,8 @@ def rows(t):
 
 
 def split_rows(t):
-    return mlprep.with_splits(checkpointed(rows(t)), WINDOW)
+    """Split once: every fit and every pass of a search would order the rows of the cut again."""
+    return checkpointed(mlprep.with_splits(checkpointed(rows(t)), WINDOW))
 
 
 def train_rows(t):

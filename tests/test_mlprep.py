@@ -154,3 +154,11 @@ def test_folds_keep_rows_without_a_label(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 0), ("c", None), ("d", 1)], "loan_id string, label int")
     rows = rows.withColumn("snapshot_date", F.lit("2024-01-01").cast("date"))
     assert mlprep.with_folds(rows, 2, 1).count() == 4
+
+
+def test_split_rows_are_ordered_once(spark, small_dir):
+    from ledgermart.registry import mlprep as queries
+    from ledgermart.sources.sample_tables import SampleTables
+
+    plan = queries.split_rows(SampleTables(spark, small_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan and "Window" not in plan and "Exchange" not in plan
