@@ -33,44 +33,19 @@ from .common import slices, stage_path, table
 BLOCK = 1 << 18
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: words, and other pieces, whose ids a task remembers, twice over
-REMEMBERED = 300_000
-PIECES = 30_000
-#: characters of a word from which on it is not remembered
-LONG = 64
-#: bytes of text that are encoded at once, and words whose ids are laid out at once
-PART = 4 << 20
+#: words that the library encodes at once, and words in one string of these
+REMEMBERED = 8192
+PIECES = 512
+#: Fixed value: letters at a word's start, before an ASCII character that is none
+LETTERS = r"^(?s)(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>[\x00-@\[-`{-\x7F].*)$"
+#: bytes of text that are encoded at once, bytes of ids that are counted at once, and words whose ids are laid out at once
+PART = 16 << 20
+COUNTED = 4 << 20
 GATHERED = 1 << 18
 _ENCODERS: dict = {}
 _TABLES: dict = {}
 
 
-class Remembered(dict):
-    """A function's values, of at most ``2 * limit`` short keys: of two generations the older is given up."""
-
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit, self.older = make, limit, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) > LONG:
-            return value
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-    def many(self, keys: list[str]) -> list[bytes]:
-        values = list(map(self.get, keys))
-        for i in [i for i, value in enumerate(values) if value is None]:
-            values[i] = self[keys[i]]
-        return values
-
-
 def byte_alphabet() -> dict[int, str]:
     """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -79,57 +54,78 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class Encoder:
-    """A byte-level BPE tokenizer of the ``tokenizers`` library that remembers the ids of words.
+    """A byte-level BPE tokenizer of the ``tokenizers`` library that encodes each different word of a batch once.
 
     The tokenizer cuts a text into pieces before it merges, and a space that a visible character follows
     always begins a piece.  So a text's ids are those of its space-separated words.  Arrow splits a batch
-    and numbers its different words, each of these is looked up once, or merged by the library's
-    model, and numpy lays the ids out in the order of the words.  Texts that hold an added token, separator
+    and numbers its different words, the library encodes these, many in one string, and numpy lays the
+    ids out in the order of the words.  Where a word's ids end in the string follows from the number of bytes
+    that each id stands for.  Nothing is kept from batch to batch.  Texts that hold an added token, separator
     controls or a space before white space, and tokenizers that cut in another way, are encoded whole.
     """
 
     def __init__(self, path: str):
-        import json
         import re
-        from array import array
 
-        import regex
         from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        config = json.loads(self.tokenizer.to_str())
-        cut = config["pre_tokenizer"] or {}
-        plain = config["normalizer"] is None and config["post_processor"] is None and config["truncation"] is None
-        self.by_word = plain and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
-        self.size = self.tokenizer.get_vocab_size()
-        self.kind, code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
-        # Fixed value: how byte-level BPE cuts a text.
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        cut_pieces, tokenize, alphabet = regex.compile(pattern).findall, self.tokenizer.model.tokenize, byte_alphabet()
-        space = alphabet[ord(" ")]
-
-        def merged(piece: str) -> bytes:
-            return array(code, [t.id for t in tokenize(piece.encode().decode("latin-1").translate(alphabet))]).tobytes()
-
-        def after_space(word: str) -> bytes:
-            if word.isalpha():  # one piece
-                return array(code, [t.id for t in tokenize(space + word)]).tobytes() if word.isascii() else merged(" " + word)
-            if word[:-1].isalpha() and word[-1] in ".,;:!?":
-                return self.words[word[:-1]] + self.pieces[word[-1]]
-            return self.word(" " + word)
-
-        def of_piece(piece: str) -> bytes:
-            return self.words[piece[1:]] if piece[0] == " " and piece[1:].isalpha() else self.pieces[piece]
-
-        self.pieces = Remembered(merged, PIECES)
-        self.words = Remembered(after_space, REMEMBERED)
-        self.word = lambda text: b"".join(map(of_piece, cut_pieces(text)))
-        added = "|".join(re.escape(t["content"]) for t in config["added_tokens"])
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = t = Tokenizer.from_file(path)
+        cut, added = t.pre_tokenizer, [token.content for token in t.get_added_tokens_decoder().values()]
+        plain = t.normalizer is None and t.post_processor is None and t.truncation is None and t.padding is None
+        known = all(t.token_to_id(c) is not None for c in byte_alphabet().values()) and not any(" " in a for a in added)
+        self.by_word = plain and known and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
+        self.size = t.get_vocab_size()
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        # a character of a byte-level token is a byte
+        self.n_bytes = np.array([len(t.id_to_token(i) or " ") for i in range(self.size)])
         blank = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-        self.odd = rf"[\x1C-\x1F]| (?:[{blank}]|\z)" + ("|" + added if added else "")
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        self.odd = "|".join([rf"[\x1C-\x1F]| (?:[{blank}]|\z)", *map(re.escape, added)])
+
+    def each(self, strings: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that follow a space, end to end, and how many each word has."""
+        listed, found = words.to_pylist(), [np.zeros(0, self.kind)]
+        for at in range(0, len(listed), REMEMBERED):
+            some = listed[at : at + REMEMBERED]
+            found += self.each([" " + " ".join(some[k : k + PIECES]) for k in range(0, len(some), PIECES)])
+        ids = np.concatenate(found)
+        ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        reached = np.cumsum(self.n_bytes[ids])
+        last = np.searchsorted(reached, ends)
+        if len(ends) and (reached[-1] != ends[-1] or (reached[last] != ends).any()):
+            raise ValueError("the ids of two words can't be told apart")
+        return ids, np.diff(last, prepend=-1)
+
+    def after_space(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same, with a word's letters apart from what follows them: there the tokenizer cuts in any case."""
+        cut = pc.extract_regex(words, LETTERS)
+        parted = cut.is_valid().to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(parted)
+        heads = pc.if_else(cut.is_valid(), pc.struct_field(cut, "letters"), words).dictionary_encode()
+        tails = pc.struct_field(cut, "rest").take(pa.array(at)).dictionary_encode()
+        ids, sizes = self.joined(heads.dictionary)
+        known = len(sizes)
+        behind = self.each(tails.dictionary.to_pylist())
+        ids, sizes = np.concatenate([ids, *behind]), np.concatenate([sizes, [*map(len, behind), 0]])
+        order = np.full((len(words), 2), len(sizes) - 1)  # the last one, of no ids, where nothing follows
+        order[:, 0] = heads.indices.to_numpy()
+        order[at, 1] = known + tails.indices.to_numpy()
+        return self.laid(ids, sizes, order.ravel()), sizes[order].sum(1)
+
+    def laid(self, flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """The ids of parts, given end to end with their sizes, in another order."""
+        starts, ends = np.cumsum(sizes) - sizes, np.cumsum(sizes[order])
+        ids = np.empty(ends[-1] if len(ends) else 0, self.kind)
+        for at in range(0, len(order), GATHERED):
+            some = order[at : at + GATHERED]
+            size, begin = sizes[some], ends[at] - sizes[order[at]]
+            last = ends[at + len(some) - 1]
+            shift = starts[some] - (ends[at : at + len(some)] - size - begin)
+            ids[begin:last] = flat[np.repeat(shift, size) + np.arange(last - begin)]
+        return ids
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """Packed ids of each text, with the end id; a null text has the end id alone."""
@@ -143,33 +139,26 @@ class Encoder:
         codes, n = split.indices.to_numpy(), len(texts)
         later = np.ones(len(codes), bool)
         later[bounds[:-1]] = False
-        known = split.dictionary.to_numpy(zero_copy_only=False)
+        known = split.dictionary
         followed = np.zeros(len(known), bool)
         followed[codes[later]] = True
-        table = np.full(len(known), b"", object)
-        table[followed] = self.words.many(known[followed].tolist())
-        parts = table.tolist()
-        heads = codes[~later].tolist()
-        parts += [self.whole(texts[i].as_py()) if others[i] else self.word(known[heads[i]]) for i in range(n)]
-        parts.append(np.array([END], self.kind).tobytes())
+        followed = np.flatnonzero(followed)
+        found, counts = self.after_space(known.take(pa.array(followed)))
+        heads = self.each(known.take(pa.array(codes[~later])).to_pylist())
+        for i in np.flatnonzero(others).tolist():
+            heads[i] = self.each([texts[i].as_py()])[0]
+        # the ids of the words that follow a space, of each text's own first word, and the end id
+        flat = np.concatenate([found, *heads, np.array([END], self.kind)])
+        sizes = np.zeros(len(known) + n + 1, np.int64)
+        sizes[followed] = counts
+        sizes[len(known) :] = [*map(len, heads), 1]
         # the codes with each text's own first word, and the end id behind each text
-        order = np.full(len(codes) + n, len(parts) - 1)
+        order = np.full(len(codes) + n, len(sizes) - 1)
         number = np.repeat(np.arange(n), np.diff(bounds))
         order[np.arange(len(codes)) + number] = np.where(later, codes, len(known) + number)
-        width = np.dtype(self.kind).itemsize
-        flat = np.frombuffer(b"".join(parts), self.kind)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
-        starts = np.cumsum(sizes) - sizes
-        ends = np.cumsum(sizes[order])
-        ids = np.empty(ends[-1] if n else 0, self.kind)
-        for at in range(0, len(order), GATHERED):
-            some = order[at : at + GATHERED]
-            size, begin = sizes[some], ends[at] - sizes[order[at]]
-            last = ends[at + len(some) - 1]
-            shift = starts[some] - (ends[at : at + len(some)] - size - begin)
-            ids[begin:last] = flat[np.repeat(shift, size) + np.arange(last - begin)]
+        ids = self.laid(flat, sizes, order)
         limits = np.zeros(n + 1, np.int32)
-        limits[1:] = ends[bounds[1:] + np.arange(n)] * width
+        limits[1:] = np.cumsum(sizes[order])[bounds[1:] + np.arange(n)] * np.dtype(self.kind).itemsize
         return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(limits), pa.py_buffer(ids)])
 
 
@@ -239,7 +228,7 @@ def write_ids(docs: DataFrame, path: str, target: str) -> None:
         for row in batch:
             held.append(row["ids"])
             length += len(held[-1])
-            if length >= PART:  # one array of counts for many documents
+            if length >= COUNTED:  # one array of counts for many documents
                 total += np.bincount(np.frombuffer(b"".join(held), kind), minlength=size)
                 held, length = [], 0
         total += np.bincount(np.frombuffer(b"".join(held), kind), minlength=size)

@@ -116,3 +116,21 @@ def test_ids_come_back_whole_and_empty_tables_work(spark, documents):
     made = {r["doc_id"]: r["ids"] for r in tokens.read_ids(spark, target).collect()}
     assert made == {0: [64, 275, 0], 1: [66, 0]}
     assert tokens.round_trip(documents([]), tokens.vocabulary()).count() == 0
+
+
+def test_an_encoder_keeps_nothing_of_the_words_it_has_seen():
+    def size():
+        return sum(len(v) for v in vars(made).values() if hasattr(v, "__len__"))
+
+    made = tokens.Encoder(tokens.vocabulary())
+    before = size()
+    made.encode(pa.array([" ".join(f"w{i}x, {i}é" for i in range(5000))]))
+    assert size() == before
+
+
+def test_parts_of_a_word_are_encoded_apart_only_where_the_tokenizer_cuts():
+    made = tokens.Encoder(tokens.vocabulary())
+    words = ["don't", "x's", "a1b2", "été!!", "naïve\n\nDer", "a€!", "١2", "ß", "ÿ'll", "×=", "a×b", "é́.", "A" * 3000 + "."]
+    text = "first " + " ".join(w + e for w in words for e in ("", ",", "###", "\n"))
+    want = made.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(made.encode(pa.array([text]))[0].as_py(), made.kind).tolist() == [*want, 0]
