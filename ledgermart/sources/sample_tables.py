@@ -2,7 +2,9 @@
 
 The rules of FIXTURES.md section 3, plus a second record twelve months later for every third
 customer in ``attributes`` and ``financials`` so that "latest as of" has something to choose.
-Every view is an expression over the whole tables, so its size follows theirs.
+Every view is an expression over the whole tables, so its size follows theirs.  Orders are joined by sorting on
+both sides: Spark guesses their size from compressed files, and a broadcast of what is guessed to be small
+passes all orders through the driver, once per use of a view.
 """
 
 from __future__ import annotations
@@ -64,7 +66,7 @@ class SampleTables:
         )
         number = F.col("l_linenumber")
         return (
-            lines.join(self.orders, key == F.col("o_orderkey"))
+            lines.join(self.orders.hint("merge"), key == F.col("o_orderkey"))
             .withColumn("due_amt", due)
             .withColumn("overdue_amt", overdue)
             .select(
@@ -96,7 +98,7 @@ class SampleTables:
             )
         )
         return (
-            per_order.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            per_order.join(self.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy("o_custkey", "month")
             .agg(
                 F.sum("quantity").alias("fe_1"),
@@ -184,7 +186,7 @@ class SampleTables:
         history = F.concat(text(key % 12), F.lit(" Months"))
         segment = F.lower("c_mktsegment")
         people = self._revised_customers.join(
-            order_counts, F.col("key") == F.col("o_custkey"), "left"
+            order_counts.hint("merge"), F.col("key") == F.col("o_custkey"), "left"
         )
         return people.select(
             _customer_id("key"),
