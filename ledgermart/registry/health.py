@@ -207,6 +207,8 @@ _SECTIONS = f"""{METRICS_SQL}, runs AS (SELECT DISTINCT snapshot_date AS run_dat
 
 
 def sections(t):
+    """Sections of all components; each component is computed once, by a plan of its own, as it is read twice."""
+    taken = checkpointed(runs(t))
     parts = {
         "data_validation": h.validation_section(validation_results(t)),
         "model_training": h.training_section(training_results(t)),
@@ -214,7 +216,7 @@ def sections(t):
         "model_monitoring": h.monitoring_section(monitoring_results(t)),
     }
     return h.combine_sections(
-        *[h.with_missing_runs(part, runs(t), name) for name, part in parts.items()]
+        *[h.with_missing_runs(checkpointed(part), taken, name) for name, part in parts.items()]
     )
 
 

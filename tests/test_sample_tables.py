@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from ledgermart.registry.features import full_store
+from ledgermart.registry.health import sections
 from ledgermart.sources.sample_tables import SampleTables
 
 
@@ -41,3 +42,10 @@ def test_views_keep_their_rows(tables):
     assert clicks == {"7": (7.0, 2), "8": (5.0, 1), None: (6.0, 1)}
     assert sorted((r["loan_id"], r["installment_num"]) for r in tables.loans.collect()) == [("1", 1), ("1", 2), ("2", 1), ("3", 1)]
     assert sorted((r["Customer_ID"], r["Num_of_Loan"]) for r in tables.financials.collect()) == [("7", "1"), ("9", "0"), ("9", "0")]
+
+
+def test_sections_compute_each_component_once(tables):
+    found = sections(tables)
+    assert "FileScan" not in first_plan(found)  # both uses of a component read its checkpoint
+    components = found.groupBy("section").count().collect()
+    assert len(components) == 4 and len({r["count"] for r in components}) == 1  # every run has every section
